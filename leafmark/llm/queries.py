@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import contamination
 from .near_dup import near_duplicates
 
 
@@ -17,8 +18,13 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10).drop("item_ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_near_dup": op7_near_dup,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -37,4 +43,17 @@ r(a, b) AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a)
 c AS (SELECT a, least(a, min(b)) AS c FROM r GROUP BY a)
 SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, coalesce(c.c, s.doc_id) AS component_id, coalesce(c.c, s.doc_id) = s.doc_id AS kept
 FROM s LEFT JOIN c ON s.doc_id = c.a""",
+    "op8_decontaminate": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(ws)) AS k, array_to_string(list_slice(ws, i, i + least(10, len(ws)) - 1), ' ') AS x
+       FROM (SELECT *, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS i FROM b WHERE len(ws) > 0)),
+dw AS (SELECT doc_id, k, i, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS x
+       FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(ws) >= k)),
+m AS (SELECT doc_id, item_id, dw.k, i FROM dw JOIN bw ON dw.x = bw.x AND dw.k = bw.k),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS l FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY 1)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
 }
