@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 from itertools import repeat
 
 import numpy as np
@@ -149,46 +150,40 @@ def search_shards(batches: Iterator[pa.RecordBatch], searched: Searched) -> Iter
         yield batch, shard, starts, n, where, which, np.cumsum(hit[:-1]) > 0
 
 
-def _judged(shared):
-    def run(batches):
-        searched = shared.value
-        for batch, _, starts, n, where, which, hit in search_shards(batches, searched):
-            total = np.concatenate(([0], np.cumsum(hit)))
-            n_hit = total[starts + n] - total[starts]
-            doc = np.searchsorted(starts, where, "right") - 1
-            found: dict[int, set[int]] = {}
-            for d, w in set(zip(doc.tolist(), which.tolist(), strict=True)):
-                found.setdefault(d, set()).update(searched.owners[w])
-            items = [sorted(found.get(d, ())) for d in range(batch.num_rows)]
-            marks = [hashlib.sha256(",".join(sorted(map(str, x))).encode()).hexdigest() for x in items]
-            cols = [batch.column("doc_id"), pa.array(n), pa.array(n_hit.astype(np.int64)), pa.array([len(x) for x in items], pa.int64()), pa.array(marks), pa.array(n_hit > 0), pa.array(items, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "item_ids"])
-
-    return run
-
-
-def _matches(shared):
-    def run(batches):
-        searched, items = shared.value
-        for batch, shard, starts, _, where, which, _ in search_shards(batches, searched):
-            doc = np.searchsorted(starts, where, "right") - 1
-            ids = batch.column("doc_id")
-            rows = []
-            for w in np.unique(which):
-                here = which == w
-                for item in searched.owners[w]:
-                    words, windows = items[item]
-                    for start in windows.get(int(w), ()):
-                        at, of = where[here], doc[here]
-                        if start:  # the match that begins one word earlier holds this one
-                            new = (at == starts[of]) | (shard[at - 1] != words[start - 1])
-                            at, of = at[new], of[new]
-                        length = _longest(shard, at, words, start, int(searched.depth[w]))
-                        rows += [(ids[d].as_py(), item, p, start, k) for d, p, k in zip(of.tolist(), (at - starts[of]).tolist(), length.tolist(), strict=True)]
-            cols = list(zip(*sorted(rows, key=str), strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "word", "item_word", "n_words"])
-
-    return run
+def _judged(shared, batches):
+    searched = shared.value
+    for batch, _, starts, n, where, which, hit in search_shards(batches, searched):
+        total = np.concatenate(([0], np.cumsum(hit)))
+        n_hit = total[starts + n] - total[starts]
+        doc = np.searchsorted(starts, where, "right") - 1
+        found: dict[int, set[int]] = {}
+        for d, w in set(zip(doc.tolist(), which.tolist(), strict=True)):
+            found.setdefault(d, set()).update(searched.owners[w])
+        items = [sorted(found.get(d, ())) for d in range(batch.num_rows)]
+        marks = [hashlib.sha256(",".join(sorted(map(str, x))).encode()).hexdigest() for x in items]
+        cols = [batch.column("doc_id"), pa.array(n), pa.array(n_hit.astype(np.int64)), pa.array([len(x) for x in items], pa.int64()), pa.array(marks), pa.array(n_hit > 0), pa.array(items, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "item_ids"])
+
+
+def _matches(shared, batches):
+    searched, items = shared.value
+    for batch, shard, starts, _, where, which, _ in search_shards(batches, searched):
+        doc = np.searchsorted(starts, where, "right") - 1
+        ids = batch.column("doc_id")
+        rows = []
+        for w in np.unique(which):
+            here = which == w
+            for item in searched.owners[w]:
+                words, windows = items[item]
+                for start in windows.get(int(w), ()):
+                    at, of = where[here], doc[here]
+                    if start:  # the match that begins one word earlier holds this one
+                        new = (at == starts[of]) | (shard[at - 1] != words[start - 1])
+                        at, of = at[new], of[new]
+                    length = _longest(shard, at, words, start, int(searched.depth[w]))
+                    rows += [(ids[d].as_py(), item, p, start, k) for d, p, k in zip(of.tolist(), (at - starts[of]).tolist(), length.tolist(), strict=True)]
+        cols = list(zip(*sorted(rows, key=str), strict=True)) if rows else [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "word", "item_word", "n_words"])
 
 
 def _items(benchmark: DataFrame) -> list[tuple[int, str]]:
@@ -204,7 +199,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     contaminated (n_hit > 0) and item_ids."""
     shared = docs.sparkSession.sparkContext.broadcast(Searched(_items(benchmark), window))
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, item_ids array<long>"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_judged(shared), schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_judged, shared), schema)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -220,16 +215,17 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) ->
             starts.setdefault(number[tuple(ids[i : i + window])], []).append(i)
         known[item] = (np.array(ids, np.int32), starts)
     shared = docs.sparkSession.sparkContext.broadcast((searched, known))
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_matches(shared), "doc_id long, item_id long, word long, item_word long, n_words long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_matches, shared), "doc_id long, item_id long, word long, item_word long, n_words long")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of docs, with all their columns, that share no window with the benchmark. A shuffle-free filter over the same search."""
     shared = docs.sparkSession.sparkContext.broadcast(Searched(_items(benchmark), window))
 
-    def run(batches):
-        for batch, _, starts, n, _, _, hit in search_shards(batches, shared.value):
-            total = np.concatenate(([0], np.cumsum(hit)))
-            yield batch.filter(pa.array(total[starts + n] == total[starts]))
+    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(partial(_clean, shared), docs.schema)
 
-    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run, docs.schema)
+
+def _clean(shared, batches):
+    for batch, _, starts, n, _, _, hit in search_shards(batches, shared.value):
+        total = np.concatenate(([0], np.cumsum(hit)))
+        yield batch.filter(pa.array(total[starts + n] == total[starts]))

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -136,17 +137,14 @@ def may_link(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, per
     return sizes & (found >= t - SLACK * np.sqrt(t * (1 - t) / np.maximum(used, 1)))
 
 
-def _sketched(k: int):
-    def run(batches):
-        for batch in slices(batches):
-            n, mark, regs = [], [], []
-            for hashes in shingle_sets(batch.column("text"), k):
-                n.append(len(hashes))
-                mark.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
-                regs.append(sketch(hashes).tobytes() if len(hashes) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(mark, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "mark", "regs"])
-
-    return run
+def _sketched(k: int, batches):
+    for batch in slices(batches):
+        n, mark, regs = [], [], []
+        for hashes in shingle_sets(batch.column("text"), k):
+            n.append(len(hashes))
+            mark.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
+            regs.append(sketch(hashes).tobytes() if len(hashes) else None)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(mark, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "mark", "regs"])
 
 
 def _bands(batches):
@@ -160,65 +158,52 @@ def _bands(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys[full].view(np.int64)), pa.array(rep)], ["key", "rep"])
 
 
-def _pairs_pass(percent: int):
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("regs_a", "regs_b"))
-            ok = may_link(a, b, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
-
-    return run
+def _pairs_pass(percent: int, batches):
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("regs_a", "regs_b"))
+        ok = may_link(a, b, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent)
+        yield batch.select(["a", "b"]).filter(pa.array(ok))
 
 
-def _block_pairs(percent: int):
+def _block_pairs(percent: int, table: pa.Table) -> pa.Table:
     """Of the members of one or two blocks of a bucket: pairs of different components whose sketches may be similar enough."""
-
-    def run(table: pa.Table) -> pa.Table:
-        regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        rep, comp, n, block = (table.column(c).to_numpy() for c in ("rep", "comp", "n_shingles", "block"))
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = [], []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) | (i != j))]
-            y = y[may_link(regs[x], regs[y], n[x], n[y], percent)] if len(y) else y
-            a.append(np.minimum(rep[x], rep[y]))
-            b.append(np.maximum(rep[x], rep[y]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.concatenate(a) if a else none, pa.int64()), "b": pa.array(np.concatenate(b) if b else none, pa.int64())})
-
-    return run
-
-
-def _sets(k: int):
-    def run(batches):
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([h.tobytes() for h in shingle_sets(batch.column("text"), k)], pa.binary())], ["id", "hashes"])
-
-    return run
-
-
-def _confirm(percent: int):
-    def run(batches):
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(100 * shared >= percent * (len(p) + len(q) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return run
+    regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    rep, comp, n, block = (table.column(c).to_numpy() for c in ("rep", "comp", "n_shingles", "block"))
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    a, b = [], []
+    for x in left:
+        y = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) | (i != j))]
+        y = y[may_link(regs[x], regs[y], n[x], n[y], percent)] if len(y) else y
+        a.append(np.minimum(rep[x], rep[y]))
+        b.append(np.maximum(rep[x], rep[y]))
+    none = np.zeros(0, np.int64)
+    return pa.table({"a": pa.array(np.concatenate(a) if a else none, pa.int64()), "b": pa.array(np.concatenate(b) if b else none, pa.int64())})
+
+
+def _sets(k: int, batches):
+    for batch in slices(batches):
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([h.tobytes() for h in shingle_sets(batch.column("text"), k)], pa.binary())], ["id", "hashes"])
+
+
+def _confirm(percent: int, batches):
+    for batch in batches:
+        ok = []
+        for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
+            p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            shared = len(np.intersect1d(p, q, assume_unique=True))
+            ok.append(100 * shared >= percent * (len(p) + len(q) - shared))
+        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough. Sets are made for the documents of pairs alone."""
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    sets = written(join_small(docs.select("doc_id", "text"), ids, ["doc_id"], "left_semi").mapInArrow(_sets(k), "id long, hashes binary"), "sets")
+    sets = written(join_small(docs.select("doc_id", "text"), ids, ["doc_id"], "left_semi").mapInArrow(partial(_sets, k), "id long, hashes binary"), "sets")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b")), "b")
-    links = written(both.mapInArrow(_confirm(percent), "a long, b long").distinct(), "links")
+    links = written(both.mapInArrow(partial(_confirm, percent), "a long, b long").distinct(), "links")
     drop_written(ids, sets)
     return links
 
@@ -247,7 +232,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     kept (doc_id = component_id).
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    base = written(docs.mapInArrow(_sketched(words), "doc_id long, n_shingles long, mark binary, regs binary"), "sketch")
+    base = written(docs.mapInArrow(partial(_sketched, words), "doc_id long, n_shingles long, mark binary, regs binary"), "sketch")
     classes = written(base.where("mark is not null and doc_id is not null").groupBy("mark", "regs", "n_shingles").agg(F.min("doc_id").alias("rep")), "class")
     bands = classes.select("rep", "regs").mapInArrow(_bands, "key long, rep long")
     centres = bands.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1")
@@ -256,7 +241,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sides = [regs.select(F.col("rep").alias(c), F.col("regs").alias(f"regs_{c}"), F.col("n_shingles").alias(f"n_{c}")) for c in "ab"]
 
     star = buckets.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    likely = written(star.join(sides[0], "a").join(sides[1], "b").mapInArrow(_pairs_pass(percent), "a long, b long"), "likely")
+    likely = written(star.join(sides[0], "a").join(sides[1], "b").mapInArrow(partial(_pairs_pass, percent), "a long, b long"), "likely")
     links = confirmed(docs, likely, words, percent)
     comp = components(links)
 
@@ -266,7 +251,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     dealt = members.join(regs, "rep").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = dealt.select("*", other).select("key", "rep", "comp", "n_shingles", "regs", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    more = written(dealt.groupBy("key", "i", "j").applyInArrow(_block_pairs(percent), "a long, b long").distinct(), "more")
+    more = written(dealt.groupBy("key", "i", "j").applyInArrow(lambda t: _block_pairs(percent, t), "a long, b long").distinct(), "more")
     if more.limit(1).count():
         extra = confirmed(docs, more, words, percent)
         comp = components(links.union(extra))

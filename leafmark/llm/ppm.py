@@ -18,7 +18,9 @@ divided; without training rows the byte model is uniform; repeated rows are scor
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -186,37 +188,34 @@ class _Memo:
         return out
 
 
-_worker: dict[int, _Memo] = {}
-
-
-def _scored(shared, tag: int):
-    def run(batches):
-        trie, words, logs = shared.value
-        memo = _worker.get(tag)
-        if memo is None:
-            _worker.clear()
-            memo = _worker[tag] = _Memo(trie)
-        for batch in slices(batches):
-            keys, first = gram_keys(batch.column("text"))
-            score = np.add.reduceat(memo.log10(keys), first)
-            hashes, at = word_hashes(batch.column("text"))
-            distinct, back = np.unique(hashes.view(np.int64), return_inverse=True)
-            where, known = Trie._find(words, distinct)
-            value = np.where(known, logs[where] if len(logs) else 0.0, 0.0)[back]
-            known = known[back]
-            sums = np.concatenate(([0.0], np.cumsum(value)))
-            end, has_end = Trie._find(words, np.zeros(1, np.int64))
-            end_log = float(logs[end[0]]) if has_end[0] else 0.0
-            n = np.diff(at)
-            n_known = np.add.reduceat(np.append(known, False).astype(np.int64), np.minimum(at[:-1], len(known))) * (n > 0)
-            rare = np.flatnonzero(~known)
-            tail = pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, at).astype(np.int32)), pa.array(hashes[rare].view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), pa.array(n + 1), pa.array(n_known + int(has_end[0])), pa.array(sums[at[1:]] - sums[at[:-1]] + end_log), pa.array(score), tail],
-                ["rid", "doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "tail"],
-            )
-
-    return run
+_worker: dict[str, _Memo] = {}
+
+
+def _scored(shared, tag: str, batches):
+    trie, words, logs = shared.value
+    memo = _worker.get(tag)
+    if memo is None:
+        _worker.clear()
+        memo = _worker[tag] = _Memo(trie)
+    for batch in slices(batches):
+        keys, first = gram_keys(batch.column("text"))
+        score = np.add.reduceat(memo.log10(keys), first)
+        hashes, at = word_hashes(batch.column("text"))
+        distinct, back = np.unique(hashes.view(np.int64), return_inverse=True)
+        where, known = Trie._find(words, distinct)
+        value = np.where(known, logs[where] if len(logs) else 0.0, 0.0)[back]
+        known = known[back]
+        sums = np.concatenate(([0.0], np.cumsum(value)))
+        end, has_end = Trie._find(words, np.zeros(1, np.int64))
+        end_log = float(logs[end[0]]) if has_end[0] else 0.0
+        n = np.diff(at)
+        n_known = np.add.reduceat(np.append(known, False).astype(np.int64), np.minimum(at[:-1], len(known))) * (n > 0)
+        rare = np.flatnonzero(~known)
+        tail = pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, at).astype(np.int32)), pa.array(hashes[rare].view(np.int64)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), pa.array(n + 1), pa.array(n_known + int(has_end[0])), pa.array(sums[at[1:]] - sums[at[:-1]] + end_log), pa.array(score), tail],
+            ["rid", "doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "tail"],
+        )
 
 
 def _column(table: pa.Table, name: str) -> np.ndarray:
@@ -257,7 +256,7 @@ def score_texts(docs: DataFrame, training: Column, held_out: Column) -> DataFram
     order = np.argsort(keys)
     shared = spark.sparkContext.broadcast((trie_of(counts), keys[order], np.log10(n[order] + 1.0)))
     schema = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, tail array<long>"
-    scored = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "held_out", "text").mapInArrow(_scored(shared, id(shared) ^ int(total)), schema)
+    scored = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "held_out", "text").mapInArrow(partial(_scored, shared, uuid.uuid4().hex), schema)
     scored = written(scored, "scored")
     rare = counts.where("kind = 1").where(~often).select("key", "n")
     more = scored.select("rid", F.explode("tail").alias("key")).join(rare, "key").groupBy("rid").agg(F.sum(F.log10(F.col("n") + 1)).alias("more"), F.count("*").alias("also"))

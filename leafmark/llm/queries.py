@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contamination
+from .mixing import sampled
 from .near_dup import near_duplicates
 from .ppm import score_texts
+from .sharding import sharded
+from .token_records import token_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +24,22 @@ def _remainder(n: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_table(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sampled(_table(spark, sf_dir, "documents"), weights=[3, 1, 2], share=1.5, most=2, keep=["doc_id"])
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharded(_table(spark, sf_dir, "documents"), n_shards=8, seed=5, keep=["doc_id"])
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -34,6 +53,9 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_records": op1_token_records,
+    "op2_mixing": op2_mixing,
+    "op5_sharding": op5_sharding,
     "op7_near_dup": op7_near_dup,
     "op8_decontaminate": op8_decontaminate,
     "op10_ppm": op10_ppm,
@@ -42,6 +64,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_mixing": rf"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, sum(size)::DOUBLE AS n, row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS place FROM d GROUP BY 1),
+s1 AS (SELECT *, [3.0, 1.0, 2.0][place % 3 + 1]::DOUBLE AS w, 2 * n AS cap, 1.5 * sum(n) OVER () AS total FROM s),
+s2 AS (SELECT *, cap / w <= (total - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+       / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS capped FROM s1 WINDOW o AS (ORDER BY cap / w, source)),
+s3 AS (SELECT source, n, CASE WHEN capped THEN cap ELSE least(cap, w * (total - coalesce(sum(cap) FILTER (capped) OVER (), 0)) / sum(w) FILTER (NOT capped) OVER ()) END AS target FROM s2),
+b AS (SELECT *, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS bits FROM d),
+c AS (SELECT b.source, bits, sum(size)::DOUBLE AS words FROM b GROUP BY 1, 2),
+c1 AS (SELECT c.*, target, words * (bits + 8.0) AS w, 2.0 * words AS cap FROM c JOIN s3 ON c.source IS NOT DISTINCT FROM s3.source WHERE bits > 0),
+c2 AS (SELECT *, cap / w <= (target - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+       / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS capped FROM c1 WINDOW o AS (PARTITION BY source ORDER BY cap / w, bits)),
+c3 AS (SELECT source, bits, CASE WHEN capped THEN cap ELSE least(cap, w * (target - coalesce(sum(cap) FILTER (capped) OVER p, 0)) / sum(w) FILTER (NOT capped) OVER p) END / words AS level
+       FROM c2 WINDOW p AS (PARTITION BY source)),
+r AS (SELECT b.doc_id, b.size, b.source, coalesce(floor(level), 0) AS whole, coalesce(level - floor(level), 0) AS p,
+      (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+      FROM b LEFT JOIN c3 ON b.source IS NOT DISTINCT FROM c3.source AND b.bits = c3.bits),
+q AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds FROM r),
+l AS (SELECT q.*, s3.n, s3.target, s3.target - sum(whole * size) OVER (PARTITION BY q.source) AS wanted FROM q JOIN s3 ON q.source IS NOT DISTINCT FROM s3.source),
+t AS (SELECT *, odds IS NOT NULL AND sum(CASE WHEN odds IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY odds NULLS LAST, doc_id) - size / 2.0 <= wanted AS more FROM l)
+SELECT doc_id, size, n::BIGINT AS source_size, target, (size * (whole + more::INT))::BIGINT AS taken FROM t""",
     "op7_near_dup": rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
