@@ -12,6 +12,7 @@ from .decontaminate import contamination
 from .language import identify
 from .mixing import sampled
 from .near_dup import near_duplicates
+from .pii import counts as pii_counts
 from .ppm import score_texts
 from .sharding import sharded
 from .token_records import token_table
@@ -56,6 +57,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_counts(_table(spark, sf_dir, "documents"))
+
+
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_chat": op4_chat,
     "op5_sharding": op5_sharding,
+    "op6_pii": op6_pii,
     "op7_near_dup": op7_near_dup,
     "op8_decontaminate": op8_decontaminate,
     "op9_top_k": op9_top_k,
