@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, string_buffers
+from .common import bound_batches, slices, string_buffers
 
 PART_BYTES = 2 << 20
 START, END = "<|im_start|>", "<|im_end|>\n"
@@ -114,6 +114,7 @@ def _formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def format_conversations(turns: DataFrame) -> DataFrame:
     """Formatted conversations (conv_id, part, n_turns, formatted, loss: byte spans of assistants' texts), from turns (conv_id, turn, role, text)."""
+    bound_batches(turns.sparkSession)
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
     return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text").mapInArrow(_formatted, FORMATTED)
 

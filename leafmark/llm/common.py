@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 #: Bytes of text that a vectorised kernel takes at a time. One longer text makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
+
+#: Bytes of an Arrow batch between the JVM and a Python worker, so that long texts do not add up.
+BATCH_BYTES = 4 << 20
+
+pa.set_memory_pool(pa.system_memory_pool())  # gives large freed buffers back to the system at once
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +38,11 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session are cut by bytes, beside Spark's cut by rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/leafmark/{tag}-{uuid.uuid4().hex}"
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, string_buffers
+from .common import bound_batches, slices, string_buffers
 
 #: The benchmark texts may take this much together; they and their windows are held by the driver and every Python worker.
 MAX_BENCHMARK_BYTES = 64 << 20
@@ -197,6 +197,7 @@ def _items(benchmark: DataFrame) -> list[tuple[int, str]]:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """A row per row of docs: doc_id, n_words, n_hit (words inside an occurrence of a benchmark window), n_items, items_sha256,
     contaminated (n_hit > 0) and item_ids."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Searched(_items(benchmark), window))
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, item_ids array<long>"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_judged, shared), schema)
@@ -204,6 +205,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """Maximal verbatim matches of at least `window` words (or a whole shorter item): doc_id, item_id, first word in the document and in the item, n_words."""
+    bound_batches(docs.sparkSession)
     items = _items(benchmark)
     searched = Searched(items, window)
     number = {w: i for i, w in enumerate(searched.windows)}
@@ -220,6 +222,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) ->
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of docs, with all their columns, that share no window with the benchmark. A shuffle-free filter over the same search."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Searched(_items(benchmark), window))
 
     return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(partial(_clean, shared), docs.schema)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, string_buffers
+from .common import bound_batches, slices, string_buffers
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -79,6 +79,7 @@ class Languages:
 
 def learn(labelled: DataFrame) -> Languages:
     """The trigram models of all languages of labelled (text, lang)."""
+    bound_batches(labelled.sparkSession)
     rows = labelled.where("text is not null and lang is not null").select(F.col("text").cast("string"), F.col("lang").cast("string"))
     names = [r[0] for r in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
     if len(names) > MAX_LANGUAGES:
@@ -159,6 +160,7 @@ def _identified(shared, batches):
 
 def identify(docs: DataFrame, labelled: DataFrame, *keep: Column | str) -> DataFrame:
     """A row per row of docs: the columns `keep`, lang_pred, score (share of that language), languages (chosen ones with shares) and accepted."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(learn(labelled))
     rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
     schema = T.StructType([*rows.drop("_text").schema.fields, *T._parse_datatype_string("lang_pred string, score double, languages array<struct<lang: string, share: double>>, accepted boolean").fields])

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, join_small, slices, string_buffers, word_lower_bytes, written
+from .common import bound_batches, drop_written, join_small, slices, string_buffers, word_lower_bytes, written
 
 REGISTERS, MANTISSA, BAND = 128, 10, 4
 #: Members of a block of a bucket that is compared all against all.
@@ -231,6 +231,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Returns a row per row of docs: doc_id, n_shingles (size of its set), component_id (least doc_id of its group) and
     kept (doc_id = component_id).
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     base = written(docs.mapInArrow(partial(_sketched, words), "doc_id long, n_shingles long, mark binary, regs binary"), "sketch")
     classes = written(base.where("mark is not null and doc_id is not null").groupBy("mark", "regs", "n_shingles").agg(F.min("doc_id").alias("rep")), "class")

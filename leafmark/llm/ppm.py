@@ -27,15 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, slices, string_buffers, written
+from .common import bound_batches, drop_written, slices, string_buffers, written
 from .near_dup import word_hashes
 
 ORDER, BITS, SYMBOLS, BOUNDARY = 5, 9, 257, 256
 ENTRIES, WORDS = 1 << 20, 1 << 21
 #: Counts that a task holds before it hands them on.
-HELD = 3_000_000
+HELD = 1_500_000
 #: Slots of a worker's memory of scored symbols.
-MEMO_BITS = 22
+MEMO_BITS = 21
 
 #: The end of a text, as a word.
 _END = np.uint64(0)
@@ -246,6 +246,7 @@ def score_texts(docs: DataFrame, training: Column, held_out: Column) -> DataFram
 
     Returns doc_id, held_out, n_tokens (words and the end), n_known, train_tokens, base_score (add-one word model) and score (the byte model), both log10.
     """
+    bound_batches(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), training.alias("training"), held_out.alias("held_out"))
     counts = train(docs.where("training"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, slices, written
+from .common import bound_batches, new_path, slices, written
 
 FILE_ROWS = 20_000
 #: Distinct text pieces whose ids a worker remembers.
@@ -133,6 +133,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
     """Writes the shard files (folder `shards`) and the index of docs (doc_id, text) below path."""
+    bound_batches(docs.sparkSession)
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
@@ -164,6 +165,7 @@ def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_records(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """The records of some rows of the index (columns file, offset and rank, an order of the caller's): rank, doc_id, ids. A file has at most FILE_ROWS records."""
+    bound_batches(spark)
     by_file = wanted.groupBy("file").agg(F.collect_list(F.struct("offset", "rank")).alias("wanted"))
     files = spark.read.format("binaryFile").load(f"{path}/shards").select(F.col("path").alias("file"), "content")
     return files.join(by_file, "file").select("content", "wanted").mapInArrow(_fetched, "rank long, doc_id long, ids array<int>")

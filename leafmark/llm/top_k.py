@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import bound_batches, written
 
 BLOCK, QUERIES_AT_ONCE = 4096, 512
 RESOLUTIONS = (4, 16)
@@ -115,6 +115,7 @@ def _searched(k: int, batches):
 
 def top_k(vectors: DataFrame, queries: Column, k: int, scale: float) -> DataFrame:
     """The k best rows of vectors (vec_id, embedding) for each of its rows where `queries` is true: query_id, rank, vec_id, score."""
+    bound_batches(vectors.sparkSession)
     whole = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.coalesce(queries, F.lit(False)).alias("is_query"))
     rows = written(rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & whole).withColumn("uid", F.monotonically_increasing_id()), "vectors")
