@@ -7,9 +7,10 @@ the full sets.
 
 Scale. Documents with equal sets are one class from the start, so a group of copies is one sketch, whatever its size. In a band
 bucket, all members are first compared with one centre (as many pairs as members). Only buckets whose other members are not yet
-in one component go on: their members are dealt into blocks, and pairs of blocks are compared sketch by sketch in numpy, which
-emits only the pairs of different components that pass the estimate. So a big bucket costs no quadratic number of rows, no
-group is held by one task, and no pair is left out. With four registers a band and 32 bands, a pair at a similarity of 0.85 misses
+in one component go on: a centre's members are dealt into blocks, and pairs of blocks are compared sketch by sketch in numpy, which
+emits the members (not the pairs) that may have a link to another component. Those get the difference of their set from the centre's,
+and pairs of blocks are compared again, exactly, on these differences; a tree of links is emitted. So a big bucket costs no
+quadratic number of rows, no group is held by one task, and no component is missed. With four registers a band and 32 bands, a pair at a similarity of 0.85 misses
 every band with probability (1 - 0.85**4)**32 < 1e-10 (at 0.8: < 1e-7).
 
 Cases: a null or empty text, or one of white space alone, has an empty set and is linked with nothing; a text of fewer words than a
@@ -32,7 +33,7 @@ from .common import bound_batches, drop_written, join_small, slices, string_buff
 
 REGISTERS, MANTISSA, BAND = 128, 10, 4
 #: Members of a block of a bucket that is compared all against all.
-BLOCK = 512
+BLOCK = 1024
 #: Standard errors by which an estimate may miss the threshold and still be confirmed on the sets.
 SLACK = 5.0
 
@@ -167,20 +168,92 @@ def _pairs_pass(percent: int, batches):
         yield batch.select(["a", "b"]).filter(pa.array(ok))
 
 
-def _block_pairs(percent: int, table: pa.Table) -> pa.Table:
-    """Of the members of one or two blocks of a bucket: pairs of different components whose sketches may be similar enough."""
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool]:
     regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
     rep, comp, n, block = (table.column(c).to_numpy() for c in ("rep", "comp", "n_shingles", "block"))
     i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    a, b = [], []
+    return regs, rep, comp, n, np.flatnonzero(block == i), np.flatnonzero(block == j), i != j
+
+
+def _likely_of(x: int, right: np.ndarray, two: bool, regs: np.ndarray, rep: np.ndarray, comp: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """The members among `right` of another component than member x whose sketches are similar enough to its own."""
+    y = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) | two)]
+    return y[may_link(regs[x], regs[y], n[x], n[y], percent)] if len(y) else y
+
+
+def _hopeful(percent: int, table: pa.Table) -> pa.Table:
+    """Of the members of one or two blocks of a bucket: those with a partner of another component that may be similar enough."""
+    regs, rep, comp, n, left, right, two = _sides(table)
+    found = np.zeros(len(rep), bool)
     for x in left:
-        y = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) | (i != j))]
-        y = y[may_link(regs[x], regs[y], n[x], n[y], percent)] if len(y) else y
-        a.append(np.minimum(rep[x], rep[y]))
-        b.append(np.maximum(rep[x], rep[y]))
-    none = np.zeros(0, np.int64)
-    return pa.table({"a": pa.array(np.concatenate(a) if a else none, pa.int64()), "b": pa.array(np.concatenate(b) if b else none, pa.int64())})
+        y = _likely_of(x, right, two, regs, rep, comp, n, percent)
+        found[y] = True
+        found[x] |= len(y) > 0
+    return table.select(["centre", "rep"]).filter(pa.array(found))
+
+
+def _linked(percent: int, table: pa.Table) -> pa.Table:
+    """Links between members of one or two blocks that are confirmed on the full sets; of links that close a circle, some are left out.
+
+    The sets come as differences from their centre's set: the difference of two sets is the difference of those. Which values two differences
+    share is a product of 0-1 matrices, for some columns at a time.
+    """
+    regs, rep, comp, n, left, right, two = _sides(table)
+    apart = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("apart").combine_chunks()]
+    size = np.array([len(x) for x in apart], np.int64)
+    value, code = np.unique(np.concatenate(apart), return_inverse=True)
+    often = np.bincount(code, minlength=len(value)) > 1
+    code = np.where(often, np.cumsum(often) - 1, -1)[code]
+    owner = np.repeat(np.arange(len(apart)), size)[code >= 0]
+    code = code[code >= 0]
+    shared = np.zeros((len(left), len(right)), np.int64)
+    place_l, place_r = (np.full(len(rep), -1) for _ in range(2))
+    place_l[left], place_r[right] = np.arange(len(left)), np.arange(len(right))
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    for at in range(0, int(often.sum()), 4096):
+        part = slice(np.searchsorted(code, at), np.searchsorted(code, at + 4096))
+        sides = []
+        for place, count in ((place_l, len(left)), (place_r, len(right))):
+            mine = place[owner[part]] >= 0
+            m = np.zeros((count, 4096), np.float32)
+            m[place[owner[part]][mine], code[part][mine] - at] = 1
+            sides.append(m)
+        shared += np.rint(sides[0] @ sides[1].T).astype(np.int64)
+    both = n[left][:, None] + n[right][None, :]
+    differ = size[left][:, None] + size[right][None, :] - 2 * shared
+    linked = (100 * (both - differ) >= percent * (both + differ)) & (comp[left][:, None] != comp[right][None, :])  # |A & B| = (both - differ) / 2, |A | B| = (both + differ) / 2
+    root = {int(c): int(c) for c in np.unique(comp)}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    a, b = [], []
+    for x, y in zip(*np.nonzero(linked), strict=True):
+        i, j = left[x], right[y]
+        p, q = find(int(comp[i])), find(int(comp[j]))
+        if p != q:
+            root[p] = q
+            a.append(min(rep[i], rep[j]))
+            b.append(max(rep[i], rep[j]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members (centre, rep, ...) dealt into blocks, once for each pair (i, j) of blocks of their centre that they belong to."""
+    counts = members.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(counts, "centre").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other")
+
+
+def _apart(batches):
+    """The values that are in one of set_a and set_b."""
+    for batch in batches:
+        out = [np.setxor1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True).tobytes() for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.binary())], ["centre", "rep", "apart"])
 
 
 def _sets(k: int, batches):
@@ -198,14 +271,12 @@ def _confirm(percent: int, batches):
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough. Sets are made for the documents of pairs alone."""
+def with_sets(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """Written pairs (a, b) with their documents' full sets, made again from the texts of these documents alone."""
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = written(join_small(docs.select("doc_id", "text"), ids, ["doc_id"], "left_semi").mapInArrow(partial(_sets, k), "id long, hashes binary"), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b")), "b")
-    links = written(both.mapInArrow(partial(_confirm, percent), "a long, b long").distinct(), "links")
-    drop_written(ids, sets)
-    return links
+    drop_written(ids)
+    return pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b")), "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -243,20 +314,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     star = buckets.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     likely = written(star.join(sides[0], "a").join(sides[1], "b").mapInArrow(partial(_pairs_pass, percent), "a long, b long"), "likely")
-    links = confirmed(docs, likely, words, percent)
+    links = written(with_sets(docs, likely, words).mapInArrow(partial(_confirm, percent), "a long, b long").distinct(), "links")
     comp = components(links)
 
     others = buckets.where("rep <> centre and n > 2").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    open_ = others.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).where("x <> y")
-    members = written(others.join(open_.select("key", "m"), "key").select("key", "rep", "comp", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "open")
-    dealt = members.join(regs, "rep").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("*", other).select("key", "rep", "comp", "n_shingles", "regs", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    more = written(dealt.groupBy("key", "i", "j").applyInArrow(lambda t: _block_pairs(percent, t), "a long, b long").distinct(), "more")
-    if more.limit(1).count():
-        extra = confirmed(docs, more, words, percent)
+    open_ = others.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    members = written(others.join(open_, "key", "left_semi").select("centre", "rep", "comp").distinct(), "open").join(regs, "rep")
+    groups = _in_blocks(members).groupBy("centre", "i", "j")
+    hopeful = written(groups.applyInArrow(lambda t: _hopeful(percent, t), "centre long, rep long").distinct(), "hopeful")
+    if hopeful.limit(1).count():
+        pairs = hopeful.select(F.col("centre").alias("a"), F.col("rep").alias("b"))
+        apart = written(with_sets(docs, pairs, words).mapInArrow(_apart, "centre long, rep long, apart binary"), "apart")
+        groups = _in_blocks(members.join(apart, ["centre", "rep"])).groupBy("centre", "i", "j")
+        extra = written(groups.applyInArrow(lambda t: _linked(percent, t), "a long, b long").distinct(), "extra")
         comp = components(links.union(extra))
-    drop_written(buckets, members, likely, more)
+    drop_written(buckets, likely)
 
     of_class = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("mark", F.coalesce("comp", "rep").alias("comp"))
     out = base.select("doc_id", "n_shingles", "mark").join(of_class, "mark", "left")
