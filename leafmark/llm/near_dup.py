@@ -319,13 +319,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     others = buckets.where("rep <> centre and n > 2").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     open_ = others.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    members = written(others.join(open_, "key", "left_semi").select("centre", "rep", "comp").distinct(), "open").join(regs, "rep")
+    members = written(others.join(open_, "key", "left_semi").select("centre", "rep", "comp").distinct().join(regs, "rep"), "open")
     groups = _in_blocks(members).groupBy("centre", "i", "j")
     hopeful = written(groups.applyInArrow(lambda t: _hopeful(percent, t), "centre long, rep long").distinct(), "hopeful")
     if hopeful.limit(1).count():
         pairs = hopeful.select(F.col("centre").alias("a"), F.col("rep").alias("b"))
         apart = written(with_sets(docs, pairs, words).mapInArrow(_apart, "centre long, rep long, apart binary"), "apart")
-        groups = _in_blocks(members.join(apart, ["centre", "rep"])).groupBy("centre", "i", "j")
+        groups = _in_blocks(written(members.join(apart, ["centre", "rep"]), "apart")).groupBy("centre", "i", "j")
         extra = written(groups.applyInArrow(lambda t: _linked(percent, t), "a long, b long").distinct(), "extra")
         comp = components(links.union(extra))
     drop_written(buckets, likely)

@@ -33,17 +33,46 @@ from pyspark.sql import functions as F
 from .common import bound_batches, new_path, slices, written
 
 FILE_ROWS = 20_000
-#: Distinct text pieces whose ids a worker remembers.
-PIECES = 400_000
+#: Pieces, and words, whose ids a worker remembers in each of two generations.
+PIECES, CORES = 200_000, 300_000
 
 _HEAD = struct.Struct("<qBBI")
 _ODD = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+class Remembered:
+    """Ids of strings, in two generations: what is not asked for while a new generation fills up is forgotten."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.new, self.old = most, {}, {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """What has no ids yet; all else that is wanted is in `new` now. To be called before add()."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        new, old, absent = self.new, self.old, []
+        for k in wanted:
+            if k not in new:
+                if k in old:
+                    new[k] = old[k]
+                else:
+                    absent.append(k)
+        return absent
+
+    def add(self, keys: list[str], ids: list[bytes]) -> None:
+        self.new.update(zip(keys, ids, strict=True))
+
+
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_MARKS = r"!-&(-/:-@\[-`{-~"  # no apostrophe: it may begin a piece with letters
+_PARTS = re.compile(rf"([{_LATIN}]+)([{_MARKS}]+)?(?:(\n)([{_LATIN}]+)([{_MARKS}]+)?)?")
+
+
 class PieceEncoder:
     """Encodes whole texts. A byte-level tokenizer's own split always begins a new piece at a lone space between two characters that are no
-    white space, so there such texts are cut, equal pieces are encoded once, and the ids are those of the whole text. Other tokenizers get whole texts."""
+    white space, so there such texts are cut, equal pieces are encoded once, and the ids are those of the whole text. In the same way a piece of Latin
+    letters, marks and one line end is cut where its letters end or begin. Other tokenizers get whole texts."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,24 +85,43 @@ class PieceEncoder:
         pre = spec.get("pre_tokenizer") or {}
         self.cuts = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
+        self.heads, self.pieces, self.plain, self.spaced = Remembered(PIECES), Remembered(PIECES), Remembered(PIECES), Remembered(CORES)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, each after a space. Many are encoded as one text, in which the tokenizer tells its pieces apart."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 500):
+            part = words[i : i + 500]
+            e = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
+            ids, word = np.array(e.ids, self.dtype), np.array(e.word_ids)
+            cut = np.flatnonzero(word[1:] != word[:-1]) + 1
+            out += [x.tobytes() for x in np.split(ids, cut)] if len(cut) + 1 == len(part) else self._encode([f" {w}" for w in part])
+        return out
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, each after a space."""
+        parts = [m.groups("") if (m := _PARTS.fullmatch(p)) else None for p in pieces]
+        odd = iter(self._encode([f" {p}" for p, x in zip(pieces, parts, strict=True) if not x]))
+        words = self.spaced.missing({x[0] for x in parts if x})
+        self.spaced.add(words, self._encode_words(words))
+        rest = self.plain.missing({y for x in parts if x for y in x[1:]} | {""})
+        self.plain.add(rest, self._encode(rest))
+        spaced, plain = self.spaced.new, self.plain.new
+        return [spaced[x[0]] + b"".join([plain[y] for y in x[1:]]) if x else next(odd) for x in parts]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self._encode(texts)
-        if len(self.rest) + len(self.first) > PIECES:
-            self.first, self.rest = {}, {}
         cut = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        heads = list({c[0] for c in cut} - self.first.keys())
-        tails = list(set().union(*(c[1:] for c in cut)) - self.rest.keys())
-        self.first.update(zip(heads, self._encode(heads), strict=True))
-        self.rest.update(zip(tails, self._encode([f" {t}" for t in tails]), strict=True))
-        rest = self.rest.__getitem__
-        return [self.first[c[0]] + b"".join(map(rest, c[1:])) for c in cut]
+        heads = self.heads.missing({c[0] for c in cut})
+        self.heads.add(heads, self._encode(heads))
+        pieces = self.pieces.missing(set().union(*(c[1:] for c in cut)))
+        self.pieces.add(pieces, self._encode_pieces(pieces))
+        rest = self.pieces.new.__getitem__
+        return [self.heads.new[c[0]] + b"".join(map(rest, c[1:])) for c in cut]
 
 
 _encoders: dict[str, PieceEncoder] = {}
