@@ -10,24 +10,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-@F.pandas_udf("string")
-def match_key(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """NFC and full case folding, as keyword matching compares texts. Null stays null."""
+def _match_key(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in texts:
         yield s.map(lambda t: unicodedata.normalize("NFC", unicodedata.normalize("NFC", t).casefold()), na_action="ignore")
 
 
+def match_key(text: Column | str) -> Column:
+    """NFC and full case folding, as keyword matching compares texts. Null stays null."""
+    return F.pandas_udf(_match_key, "string")(text)
+
+
 def fold_word(word: str) -> str:
     """Case-folded, without diacritics; a barred d becomes d."""
     bare = "".join(c for c in unicodedata.normalize("NFD", word.casefold()) if not unicodedata.combining(c))
     return bare.replace("đ", "d")
 
 
-@F.pandas_udf("string")
-def accent_fold(texts: pd.Series) -> pd.Series:
+def _accent_fold(texts: pd.Series) -> pd.Series:
     return texts.map(fold_word, na_action="ignore")
 
 
+def accent_fold(text: Column | str) -> Column:
+    return F.pandas_udf(_accent_fold, "string")(text)
+
+
 def occurrences(text: Column, keyword: Column) -> Column:
     """Non-overlapping occurrences, left to right, of a literal keyword in a text; both are keys."""
     gone = F.replace(text, keyword, F.lit(""))
@@ -56,6 +62,10 @@ def cer(reference: Column, prediction: Column) -> Column:
 
 
 def shingles(words: Column, n: int) -> Column:
-    """Distinct runs of n words."""
-    last = F.size(words) - n + 1
-    return F.when(last > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " ")))).otherwise(F.array().cast("array<string>"))
+    """Distinct runs of n words. The words are worked out once, not once for each run."""
+
+    def runs(w: Column) -> Column:
+        last = F.size(w) - n + 1
+        return F.when(last > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " ")))).otherwise(F.array().cast("array<string>"))
+
+    return F.element_at(F.transform(F.array(words), runs), 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import match_key, occurrences
@@ -33,10 +33,13 @@ def keyword_counts(docs: DataFrame, words: DataFrame, keep: list[str]) -> DataFr
     return keyed.select("*", F.explode(table).alias("k")).select(*keep, "k.keyword_id", "k.keyword", occurrences(F.col("text_key"), F.col("k.key")).alias("n"))
 
 
-def keyword_matrix(counts: DataFrame, row: str, keywords: list[str]) -> DataFrame:
-    """Rows by keyword, and a row of column totals (its `row` is null); a total is null if any of its counts is unknown."""
-    total = F.when(F.count("n") == F.count("*"), F.sum("n"))
-    return counts.rollup(row).pivot("keyword", keywords).agg(total)
+def keyword_matrix(counts: DataFrame, row: str, keywords: dict[str, str]) -> DataFrame:
+    """Rows by keyword (columns named by the keys of `keywords`), and a row of column totals (its `row` is null); a total is null if any of its counts is unknown."""
+    def total(keyword: str, name: str) -> Column:
+        of = F.col("keyword") == keyword
+        return F.when(F.count_if(of) == F.count_if(of & F.col("n").isNotNull()), F.sum(F.when(of, F.col("n")))).alias(name)
+
+    return counts.rollup(row).agg(*[total(k, name) for name, k in keywords.items()])
 
 
 def latest_decisions(events: DataFrame) -> DataFrame:
