@@ -22,46 +22,46 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, new_path, slices, written
 
 FILE_ROWS = 20_000
-#: Pieces, and words, whose ids a worker remembers in each of two generations.
-PIECES, CORES = 200_000, 300_000
+#: Pieces whose ids a worker remembers in each of two generations.
+PIECES = 400_000
 
 _HEAD = struct.Struct("<qBBI")
-_ODD = re.compile(r"\s\s|^\s|\s$")
+_TWO_SPACES = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
+#: A byte-level model's character for each byte: itself if it prints, else the next from 256 on.
+_PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: b for b in _PRINTS} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTS)))}
+_SPACE = chr(_BYTE_CHARS[32])
 
-class Remembered:
-    """Ids of strings, in two generations: what is not asked for while a new generation fills up is forgotten."""
 
-    def __init__(self, most: int) -> None:
-        self.most, self.new, self.old = most, {}, {}
+class Remembered(dict):
+    """Ids of strings, worked out by `make` when first asked for. Two generations: what is not asked for while a new one fills up is forgotten."""
 
-    def missing(self, wanted: set[str]) -> list[str]:
-        """What has no ids yet; all else that is wanted is in `new` now. To be called before add()."""
-        if len(self.new) > self.most:
-            self.old, self.new = self.new, {}
-        new, old, absent = self.new, self.old, []
-        for k in wanted:
-            if k not in new:
-                if k in old:
-                    new[k] = old[k]
-                else:
-                    absent.append(k)
-        return absent
+    def __init__(self, most: int, make: Callable[[str], bytes]) -> None:
+        self.most, self.make, self.old = most, make, {}
 
-    def add(self, keys: list[str], ids: list[bytes]) -> None:
-        self.new.update(zip(keys, ids, strict=True))
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(key)
+        self[key] = ids = self.make(key) if ids is None else ids
+        return ids
 
 
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -85,43 +85,53 @@ class PieceEncoder:
         pre = spec.get("pre_tokenizer") or {}
         self.cuts = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.heads, self.pieces, self.plain, self.spaced = Remembered(PIECES), Remembered(PIECES), Remembered(PIECES), Remembered(CORES)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, each after a space. Many are encoded as one text, in which the tokenizer tells its pieces apart."""
-        out: list[bytes] = []
-        for i in range(0, len(words), 500):
-            part = words[i : i + 500]
-            e = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-            ids, word = np.array(e.ids, self.dtype), np.array(e.word_ids)
-            cut = np.flatnonzero(word[1:] != word[:-1]) + 1
-            out += [x.tobytes() for x in np.split(ids, cut)] if len(cut) + 1 == len(part) else self._encode([f" {w}" for w in part])
+        self.tokenize, self.code = self.tokenizer.model.tokenize, self.dtype.char
+        self.pieces, self.plain = Remembered(PIECES, self._piece), Remembered(PIECES, self._plain)
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece after a space. A word of letters there is one piece of the tokenizer's split, so the tokenizer's model gets it without that split."""
+        ascii_word = piece.isascii() and piece.isalpha()
+        found = None if ascii_word else _PARTS.fullmatch(piece)
+        if found and found[1] != piece:
+            word, *rest = found.groups()
+            return self.pieces[word] + b"".join([self.plain[x] for x in rest if x])
+        if not found and not ascii_word:
+            return self._plain(f" {piece}")
+        return array(self.code, [t.id for t in self.tokenize(_SPACE + piece if ascii_word else f" {piece}".encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text. Texts whose spaces are all lone ones are cut together, and what they share is looked up once."""
+        out, even, heads = [], [], []
+        for i, t in enumerate(texts.to_pylist()):
+            head, *rest = [t or ""] if not t or not self.cuts else _CUT.split(t) if (odd := t[0].isspace() or t[-1].isspace() or _TWO_SPACES.search(t)) else t.split(" ", 1)
+            if rest and not odd:
+                even.append(i)
+                heads.append(head)
+                out.append(b"")
+            else:
+                out.append(self._plain(head) + b"".join([self.pieces[x] for x in rest]))
+        if even:
+            for i, head, ids in zip(even, heads, self._joined(pc.split_pattern(texts.take(pa.array(even)), " ")), strict=True):
+                out[i] = self._plain(head) + ids
         return out
 
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, each after a space."""
-        parts = [m.groups("") if (m := _PARTS.fullmatch(p)) else None for p in pieces]
-        odd = iter(self._encode([f" {p}" for p, x in zip(pieces, parts, strict=True) if not x]))
-        words = self.spaced.missing({x[0] for x in parts if x})
-        self.spaced.add(words, self._encode_words(words))
-        rest = self.plain.missing({y for x in parts if x for y in x[1:]} | {""})
-        self.plain.add(rest, self._encode(rest))
-        spaced, plain = self.spaced.new, self.plain.new
-        return [spaced[x[0]] + b"".join([plain[y] for y in x[1:]]) if x else next(odd) for x in parts]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.cuts:
-            return self._encode(texts)
-        cut = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        heads = self.heads.missing({c[0] for c in cut})
-        self.heads.add(heads, self._encode(heads))
-        pieces = self.pieces.missing(set().union(*(c[1:] for c in cut)))
-        self.pieces.add(pieces, self._encode_pieces(pieces))
-        rest = self.pieces.new.__getitem__
-        return [self.heads.new[c[0]] + b"".join(map(rest, c[1:])) for c in cut]
+    def _joined(self, cut: pa.ListArray) -> list[bytes]:
+        """Ids of each row's pieces but the first."""
+        at = cut.offsets.to_numpy()
+        later = np.ones(at[-1], bool)
+        later[at[:-1]] = False
+        found = cut.values.filter(pa.array(later)).dictionary_encode()
+        ids = [self.pieces[x] for x in found.dictionary.to_numpy(zero_copy_only=False)]
+        data, code = np.frombuffer(b"".join(ids), self.dtype), found.indices.to_numpy()
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        start, n = np.cumsum(size) - size, size[code]
+        ends = np.cumsum(n)
+        tokens = data[np.repeat(start[code] - (ends - n), n) + np.arange(ends[-1])]
+        rows = np.concatenate([[0], ends])[at - np.arange(len(at))]
+        return [tokens[a:b].tobytes() for a, b in pairwise(rows.tolist())]
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -157,9 +167,9 @@ def _framed(path: str, end_id: int, batches):
     encoder = _encoders[path]
     end = np.array([end_id], encoder.dtype).tobytes()
     width = encoder.dtype.itemsize
-    for batch in slices(batches):
+    for batch in slices(batches, most=2 << 20):
         out = []
-        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode([t or "" for t in batch.column("text").to_pylist()]), strict=True):
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
             ids += end
             out.append(frame(_HEAD.pack(doc_id or 0, doc_id is not None, width, len(ids) // width) + ids)[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
