@@ -286,3 +286,28 @@ def line_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page numbers and connector lines."""
     lines = spark.sql("SELECT * FROM (VALUES ('12'), ('xiv / 20'), ('2024'), ('page'), ('l | -'), ('--'), ('1l'), ('Ein Satz.')) AS t(text)")
     return lines.select("text", is_page_number(F.col("text")).alias("page_number"), is_connector_line(F.col("text")).alias("connector"))
+
+# Review, evaluation and publication
+
+_sql("review_queue", "SELECT keyword, variant, count(*) AS n, min(doc_id) AS first_doc FROM (SELECT lower(role) AS keyword, substr(text, 1, 3) AS variant, conv_id AS doc_id FROM @conversations WHERE text IS NOT NULL) GROUP BY keyword, variant")
+_sql("edit_outcomes", "SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN p.text IS NULL THEN 'MISSING_OUTPUT' WHEN p.text = r.text THEN 'EXACT' WHEN lower(p.text) = lower(r.text) THEN 'CASE_ONLY' ELSE 'MISMATCH' END AS outcome FROM (SELECT n_nationkey AS k, n_name AS text FROM @nation) r LEFT JOIN (SELECT n_nationkey AS k, CASE WHEN n_nationkey % 4 = 1 THEN lower(n_name) WHEN n_nationkey % 4 = 2 THEN concat(n_name, 'x') ELSE n_name END AS text FROM @nation WHERE n_nationkey % 5 <> 0) p ON r.k = p.k) GROUP BY outcome")
+_sql("review_coverage", "SELECT page, missing, least(missing, alias) AS by_alias, least(greatest(missing - alias, 0), confusable) AS by_confusable, greatest(missing - alias - confusable, 0) AS uncovered FROM (SELECT page, greatest(want - got, 0) AS missing, alias, confusable FROM (VALUES (1, 5, 2, 1, 1), (2, 3, 3, 2, 0), (3, 9, 1, 4, 10), (4, 0, 2, 0, 0)) AS t(page, want, got, alias, confusable))")
+_sql("review_outcome", "SELECT source, count(*) AS n, CASE WHEN count(quality) = count(*) THEN count(CASE WHEN quality = 1 AND toxic = 0 THEN 1 END) END AS fixed, CASE WHEN count(quality) = count(*) THEN count(CASE WHEN quality = 0 AND toxic = 1 THEN 1 END) END AS introduced FROM @documents LEFT JOIN @labels USING (doc_id) GROUP BY source")
+_sql("keyword_run_differences", "SELECT coalesce(a.k, b.k) AS source, greatest(coalesce(a.n, 0) - coalesce(b.n, 0), 0) AS missing, greatest(coalesce(b.n, 0) - coalesce(a.n, 0), 0) AS extra FROM (SELECT source AS k, count(*) AS n FROM @documents WHERE lang = 'en' GROUP BY source) a FULL OUTER JOIN (SELECT source AS k, count(*) AS n FROM @documents WHERE lang = 'fr' GROUP BY source) b ON a.k = b.k")
+_sql("publication_pairs", "SELECT coalesce(b.id, c.id) AS unit, b.id IS NOT NULL AS in_baseline, c.id IS NOT NULL AS in_candidate FROM (SELECT doc_id AS id FROM @documents WHERE doc_id % 3 <> 0) b FULL OUTER JOIN (SELECT doc_id AS id FROM @documents WHERE doc_id % 5 <> 0) c ON b.id = c.id")
+_sql("manifest_merge", "SELECT id, count(*) AS shards, CASE WHEN count(*) > 1 THEN 'DUPLICATE' ELSE 'OK' END AS status FROM (SELECT s_suppkey AS id FROM @supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT s_suppkey AS id FROM @supplier WHERE s_suppkey % 3 = 0) GROUP BY id")
+_sql("phase_rollup", "SELECT event_type, sum(value) AS seconds, max(value) AS peak, count(DISTINCT user_id) AS units, count(*) - count(DISTINCT user_id) AS retries FROM @events GROUP BY event_type")
+_sql("metric_grid", "WITH g AS (SELECT c.config, m.metric FROM (VALUES ('a'), ('b'), ('c')) AS c(config) CROSS JOIN (VALUES ('cer'), ('wer')) AS m(metric)), r AS (SELECT g.config, g.metric, coalesce(p.p, 1e0) AS p FROM g LEFT JOIN (VALUES ('a', 'cer', 1e-2), ('b', 'cer', 4e-2), ('b', 'wer', 2e-2), ('c', 'wer', 5e-1)) AS p(config, metric, p) ON g.config = p.config AND g.metric = p.metric), k AS (SELECT *, row_number() OVER (ORDER BY p, config, metric) - 1 AS rank, count(*) OVER () AS m FROM r) SELECT config, metric, p, max(least(1e0, (m - rank) * p)) OVER (ORDER BY p, config, metric ROWS UNBOUNDED PRECEDING) AS adjusted FROM k")
+_sql("hierarchy_accuracy", "SELECT count(*) AS n, avg(CASE WHEN p.depth = r.depth THEN 1e0 ELSE 0e0 END) AS depth, avg(CASE WHEN p.parent = r.parent THEN 1e0 ELSE 0e0 END) AS parent, avg(CASE WHEN p.depth = r.depth AND p.parent = r.parent THEN 1e0 ELSE 0e0 END) AS joint FROM (SELECT n_nationkey AS id, n_nationkey % 4 AS depth, n_regionkey AS parent FROM @nation) r LEFT JOIN (SELECT n_nationkey AS id, CASE WHEN n_nationkey % 7 = 0 THEN 9 ELSE n_nationkey % 4 END AS depth, CASE WHEN n_nationkey % 3 = 0 THEN 9 ELSE n_regionkey END AS parent FROM @nation WHERE n_nationkey <> 5) p ON r.id = p.id")
+_sql("prefix_pages", "SELECT doc, page FROM (SELECT d.doc, g.page, row_number() OVER (PARTITION BY d.doc ORDER BY length(g.prefix) DESC) AS r FROM (VALUES ('abc-2020-x'), ('abc-2021'), ('ab'), ('zz')) AS d(doc) JOIN (VALUES ('abc', 1), ('abc-2020', 2), ('ab', 3)) AS g(prefix, page) ON substr(d.doc, 1, length(g.prefix)) = g.prefix) WHERE r = 1")
+_sql("longest_row_labels", "SELECT o_orderkey, label FROM (SELECT o.o_orderkey, l.label, row_number() OVER (PARTITION BY o.o_orderkey ORDER BY length(l.label) DESC) AS r FROM @orders o JOIN (VALUES ('1-'), ('1-URGENT'), ('2-H'), ('5')) AS l(label) ON substr(o.o_orderpriority, 1, length(l.label)) = l.label) WHERE r = 1")
+_sql("continuation_edges", "SELECT doc_id, following FROM (SELECT doc_id, text, lead(doc_id) OVER w AS following, lead(text) OVER w AS next_text FROM @documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)) WHERE substr(text, length(text), 1) NOT IN ('.', '!', '?') AND substr(next_text, 1, 1) BETWEEN 'A' AND 'z'")
+_sql("repeated_titles", "SELECT lang, doc_id FROM (SELECT lang, doc_id, doc_id - lag(doc_id) OVER (PARTITION BY lang ORDER BY doc_id) AS gap FROM @documents) WHERE gap <= 4")
+_sql("identity_ranks", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY round(value), event_type, event_id) AS rank, count(*) OVER (PARTITION BY user_id, event_type) > 1 AS repeated FROM @events", "SELECT user_id, event_id, (row_number() OVER (PARTITION BY user_id ORDER BY round(value), event_type, event_id))::INT AS rank, count(*) OVER (PARTITION BY user_id, event_type) > 1 AS repeated FROM events")
+_sql("contents_pages", "SELECT doc, page FROM (VALUES ('a', 1, 4, 0), ('a', 2, 3, 5), ('a', 3, 0, 6), ('b', 9, 10, 10), ('b', 8, 0, 7)) AS t(doc, page, titled, untitled) WHERE page <= 8 AND (titled >= 4 OR untitled >= 6)")
+_sql("spanning_bands", "SELECT id, band, row_number() OVER (ORDER BY band, spans DESC, col, y) AS position FROM (SELECT id, col, y, spans, sum(spans) OVER (ORDER BY y, id ROWS UNBOUNDED PRECEDING) AS band FROM (VALUES ('t', 0, 0, 1), ('a', 0, 10, 0), ('b', 1, 11, 0), ('c', 0, 20, 0), ('u', 0, 30, 1), ('d', 1, 40, 0), ('e', 0, 41, 0)) AS t(id, col, y, spans))", "SELECT id, band::BIGINT AS band, (row_number() OVER (ORDER BY band, spans DESC, col, y))::INT AS position FROM (SELECT id, col, y, spans, sum(spans) OVER (ORDER BY y, id ROWS UNBOUNDED PRECEDING) AS band FROM (VALUES ('t', 0, 0, 1), ('a', 0, 10, 0), ('b', 1, 11, 0), ('c', 0, 20, 0), ('u', 0, 30, 1), ('d', 1, 40, 0), ('e', 0, 41, 0)) AS t(id, col, y, spans))")
+_sql("size_levels", "SELECT ratio, CASE WHEN ratio >= 2.6e0 THEN 1 WHEN ratio >= 1.6e0 THEN 2 WHEN ratio >= 1.25e0 THEN 3 ELSE 4 END AS level FROM (VALUES (3e0), (2.6e0), (1.7e0), (1.3e0), (1e0)) AS t(ratio)")
+_sql("single_edits", "SELECT a.n_name AS a, b.n_name AS b, levenshtein(a.n_name, b.n_name) AS edits FROM @nation a JOIN @nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey WHERE levenshtein(a.n_name, b.n_name) <= 1", "SELECT a.n_name AS a, b.n_name AS b, levenshtein(a.n_name, b.n_name)::INT AS edits FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey WHERE levenshtein(a.n_name, b.n_name) <= 1")
+_sql("candidate_ids", "SELECT conv_id, turn, concat('cand-', substr(sha2(concat_ws(':', role, turn, length(text), lower(role)), 256), 1, 16)) AS candidate_id FROM @conversations", "SELECT conv_id, turn, 'cand-' || substr(sha256(concat_ws(':', role, turn, length(text), lower(role))), 1, 16) AS candidate_id FROM conversations")
+_sql("quarter_turns", "SELECT angle, x, y, CASE angle WHEN 0 THEN x WHEN 90 THEN h - y WHEN 180 THEN w - x ELSE y END AS view_x, CASE angle WHEN 0 THEN y WHEN 90 THEN x WHEN 180 THEN h - y ELSE w - x END AS view_y FROM (VALUES (0, 1, 2, 100, 50), (90, 1, 2, 100, 50), (180, 1, 2, 100, 50), (270, 1, 2, 100, 50)) AS t(angle, x, y, w, h)")
+_sql("flow_markdown", "SELECT conv_id, array_join(transform(array_sort(collect_list(struct(turn, CASE WHEN role = 'user' THEN concat('# ', coalesce(text, '')) ELSE coalesce(text, '') END AS md))), x -> x.md), '\\n\\n') AS md FROM @conversations GROUP BY conv_id", "SELECT conv_id, string_agg(CASE WHEN role = 'user' THEN '# ' || coalesce(text, '') ELSE coalesce(text, '') END, chr(10) || chr(10) ORDER BY turn, CASE WHEN role = 'user' THEN '# ' || coalesce(text, '') ELSE coalesce(text, '') END) AS md FROM conversations GROUP BY conv_id")
