@@ -101,6 +101,57 @@ def test_ppm_against_a_plain_one(spark, docs, monkeypatch):
     assert ppm.score_texts(docs.limit(0), F.lit(True), F.lit(False)).count() == 0
 
 
+def plain_ppm(training, texts):
+    table = [defaultdict(Counter) for _ in range(ppm.ORDER + 1)]
+    symbols = lambda t: (256,) * ppm.ORDER + tuple((t or "").encode()) + (256,)
+    runs = Counter()
+    for t in training:
+        s = symbols(t)
+        runs.update(s[p - ppm.ORDER : p + 1] for p in range(ppm.ORDER, len(s)))
+    for run, n in runs.items():
+        for k in range(ppm.ORDER + 1):
+            table[k][run[ppm.ORDER - k : ppm.ORDER]][run[ppm.ORDER]] += n
+    scores = []
+    for t in texts:
+        s, total = symbols(t), 0.0
+        for p in range(ppm.ORDER, len(s)):
+            out = set()
+            for k in range(ppm.ORDER, -1, -1):
+                left = {a: c for a, c in table[k].get(s[p - k : p], {}).items() if a not in out}
+                if left:
+                    d, m = len(left), sum(left.values())
+                    if s[p] in left:
+                        total += math.log10(left[s[p]] / (m + d))
+                        break
+                    total += math.log10(d / (m + d))
+                    out |= set(left)
+            else:
+                total -= math.log10(257 - len(out))
+        scores.append(total)
+    return scores
+
+
+def test_ppm_keeps_rare_entries_of_a_large_corpus(spark):
+    rare = ["Quokkas juggle vexing zithers.", "Zwölf Boxkämpfer jagen Viktor", None, "", "quick zithers, zwölf quokkas"]
+    rows = [(2 * i + 1, "ab" * 100_000 + f" {i}") for i in range(12)] + [(100 + i, t) for i, t in enumerate(rare)] + [(101, rare[1])]
+    training = [t for i, t in rows if i % 2 or i == 100]
+    assert sum(len(t or "") for t in training) > 2 * ppm.ENTRIES
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in ppm.score_texts(frame, (F.col("doc_id") % 2 == 1) | (F.col("doc_id") == 100), F.lit(False)).where("doc_id >= 100").collect()}
+    assert [got[100 + i] for i in range(len(rare))] == pytest.approx(plain_ppm(training, rare))
+
+
+@pytest.mark.parametrize("entries, at_once", [(0, 1), (1, 10), (40, 100)])
+def test_ppm_joins_what_is_not_broadcast(spark, docs, monkeypatch, entries, at_once):
+    monkeypatch.setattr(ppm, "ENTRIES", entries)
+    monkeypatch.setattr(ppm, "SCORED", at_once)
+    rows = [r for r in docs.collect() if r.doc_id not in (9, None)]
+    frame = spark.createDataFrame(rows, DOC)
+    got = {r.doc_id: r.score for r in ppm.score_texts(frame, F.col("doc_id") % 2 == 1, F.lit(False)).collect()}
+    want = plain_ppm([r.text for r in rows if r.doc_id % 2], [r.text for r in rows])
+    assert [got[r.doc_id] for r in rows] == pytest.approx(want)
+
+
 def test_language_cases(spark, docs):
     got = {r.doc_id: r for r in language.identify(docs, docs, F.col("doc_id"), F.col("source")).collect()}
     assert [got[i].lang_pred for i in (0, 1, 2, 11)] == ["und"] * 4 and got[0].score == 0 and not got[11].accepted
