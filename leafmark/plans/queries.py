@@ -170,14 +170,14 @@ _EDITS = f"SELECT conv_id, turn, length(reference) AS n, levenshtein(strip_accen
 
 @_query(f"SELECT conv_id, turn, edits::INT AS edits, CASE WHEN n > 0 THEN edits / n END AS cer FROM ({_EDITS})")
 def character_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Character edits and their rate, a missing prediction counting in full."""
+    """Character edits of the first 300 characters and their rate, where these are ASCII, a missing prediction counting in full."""
     rows = _pairs(spark, sf_dir).where(F.col("reference").rlike(r"\A[\x00-\x7F]*\z"))
     return rows.select("conv_id", "turn", F.levenshtein("reference", F.coalesce("prediction", F.lit(""))).alias("edits"), cer(F.col("reference"), F.col("prediction")).alias("cer"))
 
 
 @_query(f"SELECT sum(edits)::BIGINT AS edits, sum(n)::BIGINT AS n, sum(edits) / sum(n) AS micro, avg(CASE WHEN n > 0 THEN edits / n END) AS mean_of_pages, count(*) FILTER (n > 0) AS with_reference, count(*) FILTER (missing) AS missing FROM ({_EDITS})")
 def micro_macro_cer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Micro rate beside the mean of pages."""
+    """Micro rate beside the mean of pages, over the rows and characters of character_error_rate."""
     rows = character_error_rate(spark, sf_dir).join(_pairs(spark, sf_dir).select("conv_id", "turn", F.length("reference").alias("n"), F.col("prediction").isNull().alias("missing")), ["conv_id", "turn"])
     return rows.agg(F.sum("edits").alias("edits"), F.sum("n").cast("long").alias("n"), (F.sum("edits") / F.sum("n")).alias("micro"), F.avg("cer").alias("mean_of_pages"), F.count_if(F.col("n") > 0).alias("with_reference"), F.count_if("missing").alias("missing"))
 
@@ -186,12 +186,53 @@ def micro_macro_cer(spark: SparkSession, sf_dir: str) -> DataFrame:
 q AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(coalesce(prediction, ''), '[^\s]+')) AS w FROM p) GROUP BY 1, 2, 3)
 SELECT conv_id, sum(least(coalesce(r.n, 0), coalesce(q.n, 0)))::BIGINT AS matched, sum(coalesce(r.n, 0))::BIGINT AS reference, sum(coalesce(q.n, 0))::BIGINT AS predicted FROM r FULL JOIN q USING (conv_id, turn, w) GROUP BY 1""")
 def bag_of_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens matched as multisets."""
+    """Tokens of the first 300 characters matched as multisets."""
     bag = lambda c, n: _pairs(spark, sf_dir).select("conv_id", "turn", F.explode(F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(r"([^\s]+)"), 1)).alias("w")).groupBy("conv_id", "turn", "w").agg(F.count("*").alias(n))
     both = bag("reference", "r").join(bag("prediction", "q"), ["conv_id", "turn", "w"], "full").fillna(0, ["r", "q"])
     return both.groupBy("conv_id").agg(F.sum(F.least("r", "q")).alias("matched"), F.sum("r").alias("reference"), F.sum("q").alias("predicted"))
 
 
+# Whole texts and all rows; the three queries above keep their names, SQL and first 300 characters
+_WHOLE = "SELECT conv_id, turn, text AS reference, CASE WHEN turn % 5 <> 4 THEN replace(replace(text, 'e', CASE WHEN turn % 2 = 0 THEN 'é' ELSE 'e' END), 'th', 'h') END AS prediction FROM conversations"
+# levenshtein() of the other engine counts bytes, so each pair's characters are numbered and written as one byte each (127 different ones at most)
+_NUMBERED = f"SELECT *, array_to_string(list_distinct(string_split(coalesce(reference, '') || coalesce(prediction, ''), '')), '') AS chars, (SELECT string_agg(chr(i::INT), '' ORDER BY i) FROM range(1, 128) t(i)) AS bytes FROM ({_WHOLE})"
+_WHOLE_EDITS = f"SELECT conv_id, turn, length(reference) AS n, CASE WHEN length(chars) <= 127 THEN levenshtein(translate(reference, chars, bytes), translate(coalesce(prediction, ''), chars, bytes)) ELSE error('more than 127 characters') END AS edits, prediction IS NULL AS missing FROM ({_NUMBERED})"
+
+
+def _whole_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prediction = F.replace(F.replace("text", F.lit("e"), F.when(F.col("turn") % 2 == 0, "é").otherwise("e")), F.lit("th"), F.lit("h"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("reference"), F.when(F.col("turn") % 5 != 4, prediction).alias("prediction"))
+
+
+def _whole_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edits = F.levenshtein("reference", F.coalesce("prediction", F.lit("")))
+    rows = _whole_pairs(spark, sf_dir).select("conv_id", "turn", F.length("reference").alias("n"), edits.alias("edits"), F.col("prediction").isNull().alias("missing"))
+    return rows.withColumn("cer", F.when(F.col("n") > 0, F.col("edits") / F.col("n")))
+
+
+@_query(f"SELECT conv_id, turn, edits::INT AS edits, CASE WHEN n > 0 THEN edits / n END AS cer FROM ({_WHOLE_EDITS})")
+def character_error_rate_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Character edits of whole texts and their rate, all rows, a missing prediction counting in full."""
+    return _whole_edits(spark, sf_dir).select("conv_id", "turn", "edits", "cer")
+
+
+@_query(f"SELECT sum(edits)::BIGINT AS edits, sum(n)::BIGINT AS n, sum(edits) / sum(n) AS micro, avg(CASE WHEN n > 0 THEN edits / n END) AS mean_of_pages, count(*) FILTER (n > 0) AS with_reference, count(*) FILTER (missing) AS missing FROM ({_WHOLE_EDITS})")
+def micro_macro_cer_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro rate beside the mean of pages, over whole texts and all rows."""
+    return _whole_edits(spark, sf_dir).agg(F.sum("edits").alias("edits"), F.sum("n").cast("long").alias("n"), (F.sum("edits") / F.sum("n")).alias("micro"), F.avg("cer").alias("mean_of_pages"), F.count_if(F.col("n") > 0).alias("with_reference"), F.count_if("missing").alias("missing"))
+
+
+@_query(rf"""WITH p AS ({_WHOLE}), t AS (SELECT conv_id, turn, unnest(regexp_extract_all(reference, '[^\s]+')) AS w, 1 AS r, 0 AS q FROM p
+UNION ALL SELECT conv_id, turn, unnest(regexp_extract_all(prediction, '[^\s]+')), 0, 1 FROM p)
+SELECT conv_id, sum(least(r, q))::BIGINT AS matched, sum(r)::BIGINT AS reference, sum(q)::BIGINT AS predicted FROM (SELECT conv_id, turn, w, sum(r) AS r, sum(q) AS q FROM t GROUP BY 1, 2, 3) GROUP BY 1""")
+def bag_of_tokens_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of whole texts matched as multisets."""
+    tokens = lambda c: F.transform(F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(r"([^\s]+)"), 1), lambda w: F.struct(w.alias("w"), F.lit(int(c == "reference")).alias("r"), F.lit(int(c == "prediction")).alias("q")))
+    seen = _whole_pairs(spark, sf_dir).select("conv_id", "turn", F.inline(F.concat(tokens("reference"), tokens("prediction"))))
+    bags = seen.groupBy("conv_id", "turn", "w").agg(F.sum("r").alias("r"), F.sum("q").alias("q"))
+    return bags.groupBy("conv_id").agg(F.sum(F.least("r", "q")).alias("matched"), F.sum("r").alias("reference"), F.sum("q").alias("predicted"))
+
+
 # Statistics
 
 _sql("latency_summary", "SELECT event_type, count(*) AS n, percentile(value, 0.5) AS p50, avg(value) AS mean, percentile(value, 0.95) AS p95, max(value) AS max FROM @events GROUP BY event_type", "SELECT event_type, count(*) AS n, quantile_cont(value, 0.5) AS p50, avg(value) AS mean, quantile_cont(value, 0.95) AS p95, max(value) AS max FROM events GROUP BY event_type")
