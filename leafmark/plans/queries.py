@@ -144,7 +144,7 @@ bs AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 3), ' ') AS
 n AS (SELECT item_id, count(*) AS n FROM bs GROUP BY 1), p AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY 1, 2 HAVING count(*) >= 8)
 SELECT item_id, doc_id, shared, shared / n AS containment, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY shared DESC, doc_id)::INT AS rank FROM p JOIN n USING (item_id)) WHERE rank <= 3""")
 def page_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that share at least eight four-word shingles with an item, the best three of each (G07, J24, O16): an equi-join on shingles, never all pairs."""
+    """Documents that share at least eight four-word shingles with an item, the best three of each by shared count (G07, O16; Jaccard is in page_overlap_jaccard): an equi-join on shingles, never all pairs."""
     words = lambda t: F.regexp_extract_all(F.lower(t), F.lit(r"([^ \t\n\r\f\x0B]+)"), 1)
     docs = table(spark, sf_dir, "documents").select("doc_id", F.explode(shingles(words("text"), 4)).alias("s"))
     items = table(spark, sf_dir, "benchmark").select("item_id", shingles(words("text"), 4).alias("all")).select("item_id", F.size("all").alias("n"), F.explode("all").alias("s"))
@@ -153,6 +153,28 @@ def page_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(best)).where("rank <= 3").select("item_id", "doc_id", "shared", (F.col("shared") / F.col("n")).alias("containment"), "rank")
 
 
+@_query(r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[^ \t\n\r\f\x0B]+') AS w FROM documents), b AS (SELECT item_id, regexp_extract_all(lower(text), '[^ \t\n\r\f\x0B]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d)),
+bs AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS i FROM b)),
+dn AS (SELECT doc_id, count(*) AS n FROM ds GROUP BY 1 HAVING count(*) >= 20), bn AS (SELECT item_id, count(*) AS n FROM bs GROUP BY 1 HAVING count(*) >= 20),
+p AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY 1, 2 HAVING count(*) >= 8),
+j AS (SELECT item_id, doc_id, shared, shared / (dn.n + bn.n - shared) AS jaccard FROM p JOIN dn USING (doc_id) JOIN bn USING (item_id))
+SELECT item_id, doc_id, shared, jaccard, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY jaccard DESC, shared DESC, doc_id)::INT AS rank FROM j) WHERE rank <= 3""")
+def page_overlap_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and items of at least 20 four-word shingles each that share eight, the best three of each item by Jaccard, shared count and id (G07, O16, the text signal of J24)."""
+    words = lambda t: F.regexp_extract_all(F.lower(t), F.lit(r"([^ \t\n\r\f\x0B]+)"), 1)
+
+    def exploded(name: str, key: str, size: str) -> DataFrame:
+        sets = table(spark, sf_dir, name).select(key, shingles(words("text"), 4).alias("all")).where(F.size("all") >= 20)
+        return sets.select(key, F.size("all").alias(size), F.explode("all").alias("s"))
+
+    both = exploded("documents", "doc_id", "n_doc").join(exploded("benchmark", "item_id", "n_item"), "s")
+    pairs = both.groupBy("item_id", "n_item", "doc_id", "n_doc").agg(F.count("*").alias("shared")).where("shared >= 8")
+    scored = pairs.withColumn("jaccard", F.col("shared") / (F.col("n_doc") + F.col("n_item") - F.col("shared")))
+    best = Window.partitionBy("item_id").orderBy(F.col("jaccard").desc(), F.col("shared").desc(), "doc_id")
+    return scored.withColumn("rank", F.row_number().over(best)).where("rank <= 3").select("item_id", "doc_id", "shared", "jaccard", "rank")
+
+
 # Measures of text against a reference
 
 _TURNS = "SELECT conv_id, turn, text AS reference, CASE WHEN turn % 5 = 4 THEN NULL ELSE replace(replace(substr(text, 1, 300), 'e', CASE WHEN turn % 2 = 0 THEN 'é' ELSE 'e' END), 'th', 'h') END AS prediction FROM conversations"

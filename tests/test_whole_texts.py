@@ -49,3 +49,15 @@ def test_token_bags_cover_whole_texts(spark, turns):
         if r or q:
             want[c] = tuple(x + y for x, y in zip(want.get(c, (0, 0, 0)), ((r & q).total(), r.total(), q.total())))
     assert {r.conv_id: tuple(r)[1:] for r in QUERIES["bag_of_tokens_whole"](spark, path).collect()} == want
+
+
+def test_overlap_is_ranked_by_jaccard(spark, tmp_path):
+    item = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(item + [f"long{i}_{j}" for j in range(200)])) for i in range(4)]
+    rows += [(9, " ".join([*item[:-1], "other"])), (10, " ".join(item[:22])), (11, "w0 w1 w2")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[:22]))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    sets = {k: {tuple(w[i : i + 4]) for i in range(len(w) - 3)} for k, w in [*((d, t.split()) for d, t in rows), ("item", item)]}
+    ranked = sorted(((-len(sets[d] & sets["item"]) / len(sets[d] | sets["item"]), -len(sets[d] & sets["item"]), d) for d, _ in rows if len(sets[d]) >= 20))[:3]
+    got = QUERIES["page_overlap_jaccard"](spark, str(tmp_path)).orderBy("item_id", "rank").collect()
+    assert [tuple(r) for r in got] == [(1, d, -shared, -j, i + 1) for i, (j, shared, d) in enumerate(ranked)] and got[0].doc_id == 9
