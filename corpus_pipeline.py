@@ -26,14 +26,18 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at a similarity of 0.8 or more, the one with the least id stays; of rows with one id, one."""
-    groups = written(near_duplicates(docs, words=5, percent=80).where("not kept").select("doc_id").distinct(), "dropped")
-    left = join_small(docs, groups, ["doc_id"], "left_anti")
-    twice = written(left.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "twice")
-    if not twice.limit(1).count():
-        return left
-    again = join_small(left, twice, ["doc_id"], "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("s"))
-    return join_small(left, twice, ["doc_id"], "left_anti").unionByName(again.select("doc_id", "s.*").select(*docs.columns))
+    """Of rows linked by five-word shingles at a similarity of 0.8 or more, the one with the least id stays, null last; each row is judged by its own text."""
+    number = "doc_id"
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count():
+        number = "row"
+        while number in docs.columns:
+            number += "_"
+        ordered = docs.orderBy(F.col("doc_id").asc_nulls_last(), *[c for c in docs.columns if c != "doc_id"])
+        docs = written(ordered.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(docs.select(F.col(number).alias("doc_id"), "text"), words=5, percent=80)
+    dropped = written(found.where("not kept").select(F.col("doc_id").alias(number)), "dropped")
+    left = join_small(docs, dropped, [number], "left_anti")
+    return left if number == "doc_id" else left.drop(number)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -253,3 +253,18 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert 4 not in ids
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.select("shard", "slot").distinct().count() == out.count()
+
+
+def test_pipeline_judges_each_row_by_its_own_text(spark):
+    import corpus_pipeline
+
+    other = " ".join(f"b{i}" for i in range(30))
+    rows = [(1, A), (2, A), (2, other), (3, "x y z one two"), (3, "q r s three four"), (None, A), (None, "some words without an id here"), (None, "some words without an id here"), (4, other), (5, "x y z one two"), (5, "x y z one two")]
+    frame = spark.createDataFrame([(i, t, "r") for i, t in rows], "doc_id long, text string, row string")
+    kept = corpus_pipeline.keep_one_of_each_group(spark, frame, "")
+    assert kept.columns == frame.columns
+    want = {}
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        if not any(10 * len(shingled(t, 5) & shingled(u, 5)) >= 8 * len(shingled(t, 5) | shingled(u, 5)) for u in want):
+            want[t] = i
+    assert sorted(((r.text, r.doc_id) for r in kept.collect()), key=str) == sorted(want.items(), key=str)
