@@ -3,7 +3,8 @@
 Learned: for each language, the distribution of hashed byte trigrams (letters lower-cased if ASCII, everything that is no letter or non-ASCII byte
 counts as a space). For a document, expectation-maximisation estimates the shares of the languages in its trigrams. The set of
 languages is chosen by penalised likelihood: the log-likelihood less PENALTY * (languages - 1) * ln(trigrams) / 2. The sets tried are the one, two,
-... MOST_LANGUAGES languages with the largest shares in the full mixture; as the full mixture's likelihood bounds that of every set, most
+... languages with the largest shares in the full mixture, as long as the full mixture's likelihood, which bounds that of every set, less the penalty
+beats the best value found; most
 documents need no second estimation. A document is rejected if it has no letter, or if even its best set explains it worse than
 equally likely trigrams do.
 
@@ -30,7 +31,6 @@ from .common import bound_batches, slices, string_buffers
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 MAX_LANGUAGES = 256
-MOST_LANGUAGES = 3
 SMOOTHING, PENALTY, STEPS = 0.1, 4.0, 15
 
 _LETTERS = np.full(256, 32, np.uint8)
@@ -125,7 +125,7 @@ def judge(model: Languages, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     single[np.arange(len(docs)), rank[:, 0]] = 1
     value = np.add.reduceat(weight * np.log((p * np.repeat(single, size, 0)).sum(1)), first)
     best = single
-    for k in range(2, min(MOST_LANGUAGES, n_lang) + 1):
+    for k in range(2, n_lang + 1):
         left = np.flatnonzero(bound - (k - 1) * cost > value)
         if not len(left):
             break

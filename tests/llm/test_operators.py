@@ -268,3 +268,13 @@ def test_pipeline_judges_each_row_by_its_own_text(spark):
         if not any(10 * len(shingled(t, 5) & shingled(u, 5)) >= 8 * len(shingled(t, 5) | shingled(u, 5)) for u in want):
             want[t] = i
     assert sorted(((r.text, r.doc_id) for r in kept.collect()), key=str) == sorted(want.items(), key=str)
+
+
+def test_language_mixture_of_all_four(spark):
+    rng = np.random.default_rng(3)
+    texts = {lang: [" ".join("".join(rng.choice(list(letters), 5)) for _ in range(60)) for _ in range(10)] for lang, letters in {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst"}.items()}
+    rows = [(i, t, lang) for lang, ts in texts.items() for i, t in enumerate(ts)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    mixed = spark.createDataFrame([(1, " ".join(ts[0] for ts in texts.values()), None), (2, texts["aa"][0], None)], known.schema)
+    got = {r.doc_id: {s.lang: s.share for s in r.languages} for r in language.identify(mixed, known, F.col("doc_id")).collect()}
+    assert sorted(got[1]) == sorted(texts) and max(got[1].values()) < 0.3 and sorted(got[2]) == ["aa"]
