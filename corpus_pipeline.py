@@ -63,7 +63,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", deal_into_shards),
 ]
 
-#: Language identification is no SQL query; the pipeline is tested against a plain version of each stage.
+#: Language identification is no SQL query; the near-duplicate stage is tested against a plain version, the others by cases.
 ORACLE_SQL = None
 
 

@@ -109,7 +109,7 @@ def single_word_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM documents), d AS (SELECT * FROM (VALUES ('to'), ('on'), ('no')) d(keyword))
 SELECT keyword, w AS observed, count(*) AS n FROM t JOIN d ON replace(w, '0', 'o') = keyword WHERE w <> keyword GROUP BY 1, 2""")
 def confusable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens that a zero for an o makes equal to a keyword."""
+    """Tokens that a zero for an o makes equal to a keyword (the join of J05, without its number context)."""
     tokens = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]+)"), 1)).alias("observed"))
     known = spark.sql("SELECT * FROM (VALUES ('to'), ('on'), ('no')) AS d(keyword)")
     hit = tokens.join(F.broadcast(known), F.translate("observed", "0", "o") == F.col("keyword")).where("observed <> keyword")
@@ -336,7 +336,7 @@ _BOXES = "VALUES (1, 'a', 0e0, 0e0, 10e0, 10e0), (1, 'b', 5e0, 5e0, 15e0, 15e0),
 (a.x1 - a.x0) * (a.y1 - a.y0) AS sa, (b.x1 - b.x0) * (b.y1 - b.y0) AS sb, (b.x0 + b.x1) / 2 BETWEEN a.x0 AND a.x1 AND (b.y0 + b.y1) / 2 BETWEEN a.y0 AND a.y1 AS holds FROM b a JOIN b ON a.page = b.page AND a.id < b.id)
 SELECT page, a, b, CASE WHEN sa + sb - i > 0 THEN i / (sa + sb - i) ELSE 0 END AS iou, CASE WHEN least(sa, sb) > 0 THEN i / least(sa, sb) ELSE 0 END AS overlap, holds FROM p""")
 def box_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes of a page against one another: a join on the page with a residual, never across pages."""
+    """Boxes of a page against one another: a join on the page with a residual, never across pages."""
     rows = spark.sql(f"SELECT page, id, named_struct('x0', cast(x0 as double), 'y0', cast(y0 as double), 'x1', cast(x1 as double), 'y1', cast(y1 as double)) AS box FROM ({_BOXES}) AS t(page, id, x0, y0, x1, y1)")
     a, b = rows.alias("a"), rows.alias("b")
     pairs = a.join(b, (F.col("a.page") == F.col("b.page")) & (F.col("a.id") < F.col("b.id")))
