@@ -143,7 +143,10 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 done.append(close())
                 state = None
             if state is None:
-                state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
+            if (state[0], state[6]) != (conv, part):
+                raise ValueError(f"part {part} of conversation {conv} does not follow its part {part - 1}; use ordered=False")
+            state[6] += 1
             for role, text in parse(formatted):
                 state[1] += 1
                 state[2].update(f"{role}\n{text}\n".encode())
@@ -158,6 +161,9 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(close(), kinds, strict=True)], names)
 
 
-def digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted conversations say when they are parsed again, by conversation. Takes the result of format_conversations() as it comes."""
+def digests(formatted: DataFrame, ordered: bool = True) -> DataFrame:
+    """What the formatted conversations say when they are parsed again, by conversation. Takes the result of format_conversations() as it comes; a
+    table that was written and read again, whose parts may lie anywhere, needs ordered=False (a shuffle). Parts out of order are an error."""
+    if not ordered:
+        formatted = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
     return formatted.mapInArrow(_digested, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -5,15 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows up to which a narrow table (a few numbers a row) is sent to every executor; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
+#: Keys that are dealt to several tasks, at most; and rows below which a key never is.
+HOT_KEYS, HOT_ROWS = 100_000, 1024
+
 #: Bytes of text that a vectorised kernel takes at a time. One longer text makes a slice of its own.
 SLICE_BYTES = 512 << 10
 
@@ -43,8 +47,39 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_made: list[str] = []  # places given out by new_path() and not deleted yet
+
+
 def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/leafmark/{tag}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark).rstrip('/')}/leafmark/{tag}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes all tables that were written to the shared folder inside the block; results that read them must be written elsewhere before."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[before:]:
+            delete_path(spark, path)
+
+
+def packed(*columns: Column | str) -> Column:
+    """Columns as one struct `row`, so that no name of theirs meets one of an operator's own."""
+    return F.struct(*columns).alias("row")
+
+
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unpacked(df: DataFrame, without: Iterable[str] = ()) -> list[Column]:
+    """The fields of df's struct `row`, less those that columns of the names `without` replace."""
+    gone = {c.lower() for c in without}
+    return [F.col("row").getField(c).alias(c) for c in df.schema["row"].dataType.names if c.lower() not in gone]
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
@@ -64,6 +99,8 @@ def drop_written(*frames: DataFrame) -> None:
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
+    if path in _made:
+        _made.remove(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
@@ -78,6 +115,22 @@ def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str, rows:
     return left.join(F.broadcast(right) if small_enough(right, rows) else right, on, how)
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: str, n: str, by: list[str], how: str = "inner") -> DataFrame:
+    """left joined with right, a written table of one row for each key, whose column n counts the rows of left that have the key.
+
+    Keys with many rows are dealt to several tasks by a hash of the columns `by`, and their row of right goes to each of those. Of such keys there
+    are at most HOT_KEYS, since each has more than a HOT_KEYS-th of all rows, so their list is sent to every executor.
+    """
+    total, most = right.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
+    hot = max(HOT_ROWS, total // HOT_KEYS)
+    if most <= hot:
+        return left.join(right.drop(n), on, how)
+    parts = F.ceil(F.col(n) / hot).cast("long")
+    heavy = right.where(F.col(n) > hot).select(on, parts.alias("_parts"))
+    dealt = left.join(F.broadcast(heavy), on, "left").withColumn("_part", F.pmod(F.xxhash64(*by), F.coalesce("_parts", F.lit(1).cast("long")))).drop("_parts")
+    return dealt.join(right.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(parts, F.lit(1)) - 1))).drop(n), [on, "_part"], how).drop("_part")
+
+
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column's values, one after another, and the offsets of its rows (one more than rows). Null counts as empty."""
     if column.null_count:

@@ -12,7 +12,7 @@ Scale. Learning counts into one dense table per task and sums them in a shuffle;
 MAX_LANGUAGES languages at most (else an error). Prediction reads each whole text once and shuffles nothing.
 
 Cases: a null text or one without a letter is `und` with score 0; without labelled rows everything is `und`; rows with null text or language
-teach nothing; repeated rows are judged one by one; other columns are ignored.
+teach nothing; repeated rows are judged one by one; columns that are kept may have any names, but those of the columns added here replace theirs.
 """
 
 from __future__ import annotations
@@ -26,12 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, slices, string_buffers
+from .common import bound_batches, named, packed, slices, string_buffers, unpacked
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 MAX_LANGUAGES = 256
 SMOOTHING, PENALTY, STEPS = 0.1, 4.0, 15
+MADE = ["lang_pred", "score", "languages", "accepted"]
 
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[97:123] = np.arange(97, 123)
@@ -142,12 +143,11 @@ def judge(model: Languages, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _identified(shared, batches):
-    """The text to judge is the last column; the others stay."""
     model = shared.value
     names = np.array([*model.names, "und"], object)
     spans = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
-    for batch in slices(batches, "_text", most=max(1 << 16, (2 << 20) * 8 // max(8, len(model.names)))):
-        text = batch.column(batch.num_columns - 1)
+    for batch in slices(batches, "text", most=max(1 << 16, (2 << 20) * 8 // max(8, len(model.names)))):
+        text = batch.column("text")
         shares, accepted = judge(model, text)
         letters = np.array([t is not None and _LETTER.search(t) is not None for t in text.to_pylist()], bool)
         known = letters & (shares.sum(1) > 0)
@@ -155,13 +155,25 @@ def _identified(shared, batches):
         score = np.where(known, shares.max(1, initial=0.0), 0.0)
         mixed = [[{"lang": names[j], "share": float(s[j])} for j in np.argsort(-s, kind="stable") if s[j] > 0] if k else [] for s, k in zip(shares, known, strict=True)]
         made = [pa.array(names[np.where(known, top, len(model.names))], pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(mixed, spans), pa.array(known & accepted)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*batch.schema.names[:-1], "lang_pred", "score", "languages", "accepted"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), *made], ["row", *MADE])
 
 
 def identify(docs: DataFrame, labelled: DataFrame, *keep: Column | str) -> DataFrame:
-    """A row per row of docs: the columns `keep`, lang_pred, score (share of that language), languages (chosen ones with shares) and accepted."""
+    """A row per row of docs: the columns `keep` (all, if none is given), lang_pred, score (share of that language), languages (chosen ones with
+    shares) and accepted."""
+    rows = _identify(docs, labelled, *keep)
+    return rows.select(*unpacked(rows, MADE), *MADE)
+
+
+def accepted(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The rows of docs, as they are, whose language is accepted."""
+    rows = _identify(docs, labelled).where("accepted")
+    return rows.select(*unpacked(rows))
+
+
+def _identify(docs: DataFrame, labelled: DataFrame, *keep: Column | str) -> DataFrame:
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(learn(labelled))
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    schema = T.StructType([*rows.drop("_text").schema.fields, *T._parse_datatype_string("lang_pred string, score double, languages array<struct<lang: string, share: double>>, accepted boolean").fields])
+    rows = docs.select(packed(*(keep or [named(c) for c in docs.columns])), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], *T._parse_datatype_string("lang_pred string, score double, languages array<struct<lang: string, share: double>>, accepted boolean").fields])
     return rows.mapInArrow(partial(_identified, shared), schema)

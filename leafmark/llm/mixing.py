@@ -4,14 +4,18 @@ Every source gets a target number of words: its weight's part of `share` times a
 again by weight (water filling). Inside a source a document of b binary digits of words has the inclusion weight LENGTH_WEIGHT + b, so longer documents are
 taken a little more often; scaled so that the expected words meet the target, with `most` copies at most. The whole part of a document's scaled weight is
 taken for certain; the fractional part is its inclusion probability p in a Pareto sample: documents are ranked by
-(u / (1 - u)) / (p / (1 - p)), u a hash of the id, and the lowest ranks are taken until the words still wanted are reached (to the nearest document).
+(u / (1 - u)) / (p / (1 - p)), u a hash of the id and the text, and the lowest ranks are taken until the words still wanted are reached (to the nearest
+document). Ranks are 52-bit integers; equal ones are ordered by id, then by that hash, so the mix depends on the rows alone, not on their partitions.
 
 Scale. One pass measures the texts into a table of a few numbers per row; sources and length classes are sums of it. The place where a
-source's ranks are cut is found bit by bit: the rank is a 48-bit integer, and each of four passes sums the words by 12 of its bits, so no source is sorted
-or held in one task, whatever part of the rows it has.
-
-Cases: a null text, or one without words, has size 0 and is never taken; a null source is a source of its own, the last; repeated rows are
-ranked one by one (rows of one id in a random order); an empty table gives an empty mix; other columns are kept by mixed_rows().
+source's ranks are cut is found bit by bit: each of four passes sums the words by 13 bits of the rank, so no source is sorted
+or held in one task, whatever part of the rows it has. Rows at the cut are summed by id and text first, then by partition of the input, so
+a text that is repeated in many rows is no large group either.
+
+Cases: a null text, or one without words, has size 0 and is never taken; a null source is a source of its own, the last; a null id counts as an empty
+one; rows that agree in id and text are taken one by one; an empty table gives an empty mix; mixed_rows() gives all columns as they were, whatever
+their names; in sampled(), the columns it adds replace ones of the same names. Sources are ordered, and their targets worked out, in one task of a few
+numbers a source.
 """
 
 from __future__ import annotations
@@ -19,9 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_small, written
+from .common import drop_written, join_small, named, packed, unpacked, written
 
-LENGTH_WEIGHT, LEVELS, LEVEL_BITS, ODDS_BITS = 8, 4, 12, 30
+LENGTH_WEIGHT, LEVELS, LEVEL_BITS = 8, 4, 13
+MADE = ["size", "source_size", "target", "copies"]
 
 
 def water_fill(df: DataFrame, by: list[str], weight: str, cap: str, total: Column | str, out: str) -> DataFrame:
@@ -48,31 +53,31 @@ def _plan(rows: DataFrame, weights: list[float], share: float, most: int) -> tup
     sources = written(water_fill(sources, [], "w", "cap", "total", "target").select("source", "source_size", "target"), "sources")
     level = classes.where("bits > 0").join(sources, classes["source"].eqNullSafe(sources["source"])).select(sources["*"], "bits", "words", (F.col("words") * (F.col("bits") + F.lit(float(LENGTH_WEIGHT)))).alias("w"), (F.col("words") * float(most)).alias("cap"))
     level = water_fill(level, ["source"], "w", "cap", "target", "x").select("source", "bits", "source_size", "target", (F.col("x") / F.col("words")).alias("level"))
-    return sources, written(level, "levels")
+    level = written(level, "levels")
+    drop_written(classes)
+    return sources, level
 
 
-def sampled(docs: DataFrame, weights: list[float], share: float, most: int = 2, seed: int = 0, keep: list[str] | None = None) -> DataFrame:
-    """A row per row of docs: the columns `keep` (all, if None) with size, source_size, target and copies (0 to most)."""
-    made = ["size", "source_size", "target", "copies", "bits", "level", "key", "rid"]
-    kept = [c for c in (keep if keep is not None else docs.columns) if c not in made]
-    extra = [] if "source" in kept else [F.col("source")]
+def _decided(docs: DataFrame, row: Column, weights: list[float], share: float, most: int, seed: int) -> DataFrame:
+    """row of each row of docs, with size, source_size, target and copies (0 to most)."""
     words = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    rows = docs.select(*kept, *extra, words.alias("size")).withColumn("bits", F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(0))
+    doc_id = F.col("doc_id").cast("string")
+    tie = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id, F.lit("")), F.lit(":"), F.coalesce(F.md5(F.col("text").cast("string")), F.lit(""))))
+    rows = docs.select(row, F.col("source").cast("string").alias("source"), F.col("doc_id").alias("id"), tie.alias("tie"), words.alias("size"))
+    rows = rows.withColumn("bits", F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(0))
     rows = written(rows.withColumn("rid", F.monotonically_increasing_id()), "rows")
     sources, levels = _plan(rows.select("source", "bits", "size"), weights, share, most)
 
     sid = F.sha2(F.coalesce(F.col("source"), F.lit("\0null")), 256)  # a key that null sources can be joined by
     narrow = join_small(rows.withColumn("sid", sid), levels.withColumn("sid", sid).drop("source"), ["sid", "bits"], "left")
     p = F.coalesce(F.col("level") - F.floor("level"), F.lit(0.0))
-    u = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long") + F.lit(0.5)) / float(1 << 52)
+    u = (F.conv(F.substring("tie", 1, 13), 16, 10).cast("long") + F.lit(0.5)) / float(1 << 52)
     odds = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
-    high = F.floor(odds / (1 + odds) * float((1 << ODDS_BITS) - 1)).cast("long")
-    tie = LEVELS * LEVEL_BITS - ODDS_BITS
-    key = F.when(F.col("p") > 0, F.shiftleft(high, tie) + F.pmod(F.xxhash64("rid"), F.lit(1 << tie)))
+    key = F.when(F.col("p") > 0, F.floor(odds / (1 + odds) * float(1 << LEVELS * LEVEL_BITS)).cast("long"))
     ranked = narrow.withColumn("p", p).withColumn("key", key).withColumn("whole", F.coalesce(F.floor("level"), F.lit(0)).cast("long"))
 
     # Words still wanted from each source, and the bits found so far of the rank at which it is cut
-    slim = written(ranked.select("sid", "rid", "size", "whole", "key", "target"), "ranks")
+    slim = written(ranked.select("sid", "rid", "id", "tie", "size", "whole", "key", "target"), "ranks")
     state = slim.groupBy("sid").agg((F.max("target") - F.sum(F.col("whole") * F.col("size"))).alias("left"))
     state = written(state.where("left is not null").withColumn("prefix", F.lit(0).cast("long")), "cut")
     for level in range(LEVELS):
@@ -81,19 +86,38 @@ def sampled(docs: DataFrame, weights: list[float], share: float, most: int = 2,
         sums = part.groupBy("sid", "left", F.shiftright("key", shift).alias("prefix")).agg(F.sum("size").alias("words"))
         before = F.sum("words").over(Window.partitionBy("sid").orderBy("prefix")) - F.col("words")
         sums = sums.withColumn("before", before).where((F.col("before") <= F.col("left")) | (F.col("before") == 0))
-        state = written(sums.groupBy("sid").agg(F.max_by(F.struct((F.col("left") - F.col("before")).alias("left"), "prefix"), "prefix").alias("s")).select("sid", "s.left", "s.prefix"), "cut")
-    at = join_small(slim.where("key is not null"), state.withColumnRenamed("prefix", "key"), ["sid", "key"], "inner")
-    ahead = F.sum("size").over(Window.partitionBy("sid").orderBy("rid")) - F.col("size")
-    last = at.withColumn("more", ahead + F.col("size") / 2 <= F.col("left")).where("more").select("rid", F.lit(1).alias("edge"))
-    last = written(last, "edge")
+        found = sums.groupBy("sid").agg(F.max_by(F.struct((F.col("left") - F.col("before")).alias("left"), "prefix"), "prefix").alias("s"))
+        old, state = state, written(found.select("sid", "s.left", "s.prefix"), "cut")
+        drop_written(old)
+
+    # Rows at the cut: how many of each (id, text), then how many of those in each partition of the input
+    at = join_small(slim.where("key is not null"), state.withColumnRenamed("prefix", "key"), ["sid", "key"], "inner").select("sid", "rid", "id", "tie", "size", "left")
+    at = at.withColumn("part", F.shiftright("rid", 33))
+    parts = written(at.groupBy("sid", "tie", "part").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.max("size").alias("size"), F.max("left").alias("left")), "edge-parts")
+    same = parts.groupBy("sid", "tie").agg(F.sum("n").alias("n"), F.min("id").alias("id"), F.max("size").alias("size"), F.max("left").alias("left"))
+    ahead = F.sum(F.col("n") * F.col("size")).over(Window.partitionBy("sid").orderBy(F.col("id").asc_nulls_last(), "tie")) - F.col("n") * F.col("size")
+    fit = F.floor((F.col("left") - ahead - F.col("size") / 2) / F.col("size")) + 1  # rows r = 0, 1, ... with ahead + r * size + size / 2 <= left
+    same = same.withColumn("fit", F.least(F.greatest(fit, F.lit(0)), F.col("n"))).where("fit > 0").select("sid", "tie", "fit")
+    ahead = F.sum("n").over(Window.partitionBy("sid", "tie").orderBy("part")) - F.col("n")
+    share_of = parts.join(same, ["sid", "tie"]).withColumn("take", F.least(F.col("fit") - ahead, F.col("n"))).where("take > 0").select("sid", "tie", "part", "take")
+    turn = F.row_number().over(Window.partitionBy("sid", "tie", "part").orderBy("rid"))
+    last = written(at.join(share_of, ["sid", "tie", "part"]).withColumn("turn", turn).where("turn <= take").select("rid", F.lit(1).alias("edge")), "edge")
+    drop_written(slim, parts)
+
     cut = join_small(ranked, state.select("sid", F.col("prefix").alias("cut")), ["sid"], "left")
     taken = join_small(cut, last, ["rid"], "left").withColumn("copies", F.col("whole") + F.when((F.col("key") < F.col("cut")) | F.col("edge").isNotNull(), 1).otherwise(0))
     sizes = sources.withColumn("sid", sid).select("sid", F.col("source_size").alias("_size"), F.col("target").alias("_target"))
     out = join_small(taken.drop("source_size", "target"), sizes, ["sid"], "left")
-    return out.select(*kept, "size", F.col("_size").alias("source_size"), F.col("_target").alias("target"), "copies")
+    return out.select("row", "size", F.col("_size").alias("source_size"), F.col("_target").alias("target"), "copies")
+
+
+def sampled(docs: DataFrame, weights: list[float], share: float, most: int = 2, seed: int = 0, keep: list[str] | None = None) -> DataFrame:
+    """A row per row of docs: the columns `keep` (all, if None) with size, source_size, target and copies (0 to most)."""
+    rows = _decided(docs, packed(*[named(c) for c in (docs.columns if keep is None else keep)]), weights, share, most, seed)
+    return rows.select(*unpacked(rows, MADE), *MADE)
 
 
 def mixed_rows(docs: DataFrame, weights: list[float], share: float, most: int = 2, seed: int = 0) -> DataFrame:
     """The mix itself: the columns of docs, each row as many times as it is taken."""
-    rows = sampled(docs, weights, share, most, seed).where("copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    rows = _decided(docs, packed(*[named(c) for c in docs.columns]), weights, share, most, seed).where("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select(*unpacked(rows))

@@ -5,7 +5,8 @@ leading zeros and MANTISSA following bits of the least hash that fell into its b
 a collision-corrected Jaccard estimate from the whole sketches drops the hopeless ones, and every link that stays is confirmed on
 the full sets.
 
-Scale. Documents with equal sets are one class from the start, so a group of copies is one sketch, whatever its size. In a band
+Scale. Documents with equal sets are one class from the start, so a group of copies is one sketch, whatever its size. Joins on keys that many rows
+may share (the set of a group of copies, a band of registers, the centre of a bucket, a node with many links) deal such keys to several tasks. In a band
 bucket, all members are first compared with one centre (as many pairs as members). Only buckets whose other members are not yet
 in one component go on: a centre's members are dealt into blocks, and pairs of blocks are compared sketch by sketch in numpy, which
 emits the members (not the pairs) that may have a link to another component. Those get the difference of their set from the centre's,
@@ -14,8 +15,8 @@ quadratic number of rows, no group is held by one task, and no component is miss
 every band with probability (1 - 0.85**4)**32 < 1e-10 (at 0.8: < 1e-7).
 
 Cases: a null or empty text, or one of white space alone, has an empty set and is linked with nothing; a text of fewer words than a
-shingle has its whole word sequence as the one shingle; repeated rows share their class; rows without an id are reported
-with a null component and kept; other columns are ignored.
+shingle has its whole word sequence as the one shingle; repeated rows share their class; an id with several texts links their groups, so its rows have one
+component; rows without an id are reported with a null component and kept; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, drop_written, join_small, slices, string_buffers, word_lower_bytes, written
+from .common import BROADCAST_ROWS, bound_batches, drop_written, join_small, slices, spread_join, string_buffers, word_lower_bytes, written
 
 REGISTERS, MANTISSA, BAND = 128, 10, 4
 #: Members of a block of a bucket that is compared all against all.
@@ -138,12 +139,17 @@ def may_link(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, per
     return sizes & (found >= t - SLACK * np.sqrt(t * (1 - t) / np.maximum(used, 1)))
 
 
+def _mark(hashes: np.ndarray) -> bytes | None:
+    """A name of a set: equal sets have the same, the empty set has none."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None
+
+
 def _sketched(k: int, batches):
     for batch in slices(batches):
         n, mark, regs = [], [], []
         for hashes in shingle_sets(batch.column("text"), k):
             n.append(len(hashes))
-            mark.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
+            mark.append(_mark(hashes))
             regs.append(sketch(hashes).tobytes() if len(hashes) else None)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(mark, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "mark", "regs"])
 
@@ -243,8 +249,8 @@ def _linked(percent: int, table: pa.Table) -> pa.Table:
 
 def _in_blocks(members: DataFrame) -> DataFrame:
     """Members (centre, rep, ...) dealt into blocks, once for each pair (i, j) of blocks of their centre that they belong to."""
-    counts = members.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(counts, "centre").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
+    counts = written(members.groupBy("centre").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "counts")
+    dealt = spread_join(members, counts, "centre", "n", ["rep"]).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other")
 
@@ -258,7 +264,8 @@ def _apart(batches):
 
 def _sets(k: int, batches):
     for batch in slices(batches):
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([h.tobytes() for h in shingle_sets(batch.column("text"), k)], pa.binary())], ["id", "hashes"])
+        sets = list(shingle_sets(batch.column("text"), k))
+        yield pa.RecordBatch.from_arrays([pa.array([_mark(h) for h in sets], pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], ["mark", "hashes"])
 
 
 def _confirm(percent: int, batches):
@@ -271,29 +278,46 @@ def _confirm(percent: int, batches):
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def with_sets(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """Written pairs (a, b) with their documents' full sets, made again from the texts of these documents alone."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    sets = written(join_small(docs.select("doc_id", "text"), ids, ["doc_id"], "left_semi").mapInArrow(partial(_sets, k), "id long, hashes binary"), "sets")
+def with_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, repeated: bool) -> DataFrame:
+    """Written pairs (a, b) of classes with their full sets, made again from one text of each of these classes alone."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    ids = written(classes.select("rep", "mark", "least").join(wanted, "rep", "left_semi"), "ids")
+    texts = join_small(docs.select(F.col("doc_id").alias("least"), "text"), written(ids.select("least").distinct(), "least"), ["least"], "left_semi")
+    sets = texts.mapInArrow(partial(_sets, k), "mark binary, hashes binary")
+    if repeated:  # other texts of these ids, and other rows of one text
+        sets = sets.groupBy("mark").agg(F.first("hashes").alias("hashes"))
+    sets = written(join_small(sets, ids.select("rep", "mark"), ["mark"], "inner").select("rep", "hashes"), "sets")
+    partners = pairs.groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("n"))
+    left = written(sets.join(partners, "rep").select(F.col("rep").alias("a"), F.col("hashes").alias("set_a"), "n"), "centre-sets")
     drop_written(ids)
-    return pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b")), "b")
+    return spread_join(pairs, left, "a", "n", ["b"]).join(sets.select(F.col("rep").alias("b"), F.col("hashes").alias("set_b")), "b")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) for each node of links (a, b): the least node it can reach. Least labels of neighbours, then of labels, until nothing changes."""
     both = written(links.select("a", "b").union(links.select("b", "a")), "both")
-    label = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("comp")), "label")
+    label = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("n")).select("node", F.least("node", "m").alias("comp"), "n"), "label")
+    small = label.count() <= BROADCAST_ROWS
     while True:
-        near = both.join(label.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("m"))
-        step = label.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("mid"))
-        jump = label.select(F.col("node").alias("mid"), F.col("comp").alias("far"))
-        after = written(step.join(jump, "mid", "left").select("node", "old", F.least("mid", "far").alias("comp")), "label")
+        if small:
+            seen = both.join(F.broadcast(label.select(F.col("node").alias("b"), "comp")), "b")
+        else:
+            seen = spread_join(both, label.select(F.col("node").alias("b"), "comp", "n"), "b", "n", ["a"])
+        near = seen.groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("m"))
+        step = label.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("mid"), "n")
+        if small:
+            far = step.join(F.broadcast(label.select(F.col("node").alias("mid"), F.col("comp").alias("far"))), "mid", "left")
+        else:
+            step = written(step, "step")
+            many = step.groupBy("mid").agg(F.count("*").alias("times"))
+            far = spread_join(step, written(many.join(label.select(F.col("node").alias("mid"), F.col("comp").alias("far")), "mid"), "far"), "mid", "times", ["node"])
+        after = written(far.select("node", "old", F.least("mid", "far").alias("comp"), "n"), "label")
         done = after.where("comp <> old").limit(1).count() == 0
         drop_written(label)
-        label = after.select("node", "comp")
+        label = after.select("node", "comp", "n")
         if done:
             drop_written(both)
-            return label
+            return label.select("node", "comp")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -305,32 +329,46 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     base = written(docs.mapInArrow(partial(_sketched, words), "doc_id long, n_shingles long, mark binary, regs binary"), "sketch")
-    classes = written(base.where("mark is not null and doc_id is not null").groupBy("mark", "regs", "n_shingles").agg(F.min("doc_id").alias("rep")), "class")
+    known = base.where("mark is not null and doc_id is not null")
+    classes = known.groupBy("mark", "regs", "n_shingles").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "class")
+    twice = written(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    repeated = twice.limit(1).count() > 0
     bands = classes.select("rep", "regs").mapInArrow(_bands, "key long, rep long")
-    centres = bands.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    buckets = written(bands.join(centres, "key"), "bucket")
+    centres = written(bands.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n"), F.count("*").alias("size")).where("n > 1"), "centre")
+    buckets = written(spread_join(bands, centres, "key", "n", ["rep"]), "bucket")
     regs = classes.select("rep", "regs", "n_shingles")
     sides = [regs.select(F.col("rep").alias(c), F.col("regs").alias(f"regs_{c}"), F.col("n_shingles").alias(f"n_{c}")) for c in "ab"]
 
     star = buckets.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     likely = written(star.join(sides[0], "a").join(sides[1], "b").mapInArrow(partial(_pairs_pass, percent), "a long, b long"), "likely")
-    links = written(with_sets(docs, likely, words).mapInArrow(partial(_confirm, percent), "a long, b long").distinct(), "links")
+    links = with_sets(docs, classes, likely, words, repeated).mapInArrow(partial(_confirm, percent), "a long, b long").distinct()
+    if repeated:
+        texts = join_small(known.select("doc_id", "mark"), twice, ["doc_id"], "left_semi").distinct().join(classes.select("mark", "rep"), "mark")
+        texts = written(texts.select("doc_id", "rep"), "texts")
+        firsts = written(texts.groupBy("doc_id").agg(F.min("rep").alias("a"), F.count("*").alias("n")), "firsts")
+        links = links.union(spread_join(texts, firsts, "doc_id", "n", ["rep"]).where("rep <> a").select("a", F.col("rep").alias("b"))).distinct()
+    links = written(links, "links")
     comp = components(links)
 
-    others = buckets.where("rep <> centre and n > 2").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    open_ = others.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    members = written(others.join(open_, "key", "left_semi").select("centre", "rep", "comp").distinct().join(regs, "rep"), "open")
+    others = buckets.where("rep <> centre and size > 2").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    open_ = written(others.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n"), "open-keys")
+    members = written(spread_join(others, open_, "key", "n", ["rep"]).select("centre", "rep", "comp").distinct().join(regs, "rep"), "open")
     groups = _in_blocks(members).groupBy("centre", "i", "j")
     hopeful = written(groups.applyInArrow(lambda t: _hopeful(percent, t), "centre long, rep long").distinct(), "hopeful")
     if hopeful.limit(1).count():
         pairs = hopeful.select(F.col("centre").alias("a"), F.col("rep").alias("b"))
-        apart = written(with_sets(docs, pairs, words).mapInArrow(_apart, "centre long, rep long, apart binary"), "apart")
+        apart = written(with_sets(docs, classes, pairs, words, repeated).mapInArrow(_apart, "centre long, rep long, apart binary"), "apart")
         groups = _in_blocks(written(members.join(apart, ["centre", "rep"]), "apart")).groupBy("centre", "i", "j")
         extra = written(groups.applyInArrow(lambda t: _linked(percent, t), "a long, b long").distinct(), "extra")
         comp = components(links.union(extra))
-    drop_written(buckets, likely)
-
-    of_class = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("mark", F.coalesce("comp", "rep").alias("comp"))
-    out = base.select("doc_id", "n_shingles", "mark").join(of_class, "mark", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    drop_written(buckets, likely, centres)
+
+    named = written(comp.withColumnRenamed("node", "rep").join(classes.select("rep", "least"), "rep"), "named")
+    least = written(named.groupBy("comp").agg(F.min("least").alias("component"), F.count("*").alias("n")), "component")
+    of_class = classes.join(spread_join(named, least, "comp", "n", ["rep"]).select("rep", "component"), "rep", "left")
+    of_class = written(of_class.select("mark", F.coalesce("component", "least").alias("component"), "copies"), "of-class")
+    some = spread_join(known.select("doc_id", "n_shingles", "mark", F.monotonically_increasing_id().alias("row")), of_class, "mark", "copies", ["row"])
+    rest = base.where("mark is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
+    out = some.select("doc_id", "n_shingles", "component").union(rest).withColumnRenamed("component", "component_id")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

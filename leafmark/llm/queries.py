@@ -66,7 +66,9 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10).drop("item_ids")
+    rows = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    none = {"longest_at": F.lit(-1), "longest_item": F.lit(""), "longest_item_at": F.lit(-1)}
+    return rows.withColumn("longest_item", F.col("longest_item").cast("string")).withColumns({c: F.coalesce(c, v) for c, v in none.items()}).drop("item_ids")
 
 
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +96,8 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": rf"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+      md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')) AS tie FROM documents),
 s AS (SELECT source, sum(size)::DOUBLE AS n, row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS place FROM d GROUP BY 1),
 s1 AS (SELECT *, [3.0, 1.0, 2.0][place % 3 + 1]::DOUBLE AS w, 2 * n AS cap, 1.5 * sum(n) OVER () AS total FROM s),
 s2 AS (SELECT *, cap / w <= (total - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
@@ -107,39 +110,46 @@ c2 AS (SELECT *, cap / w <= (target - coalesce(sum(cap) OVER (o ROWS BETWEEN UNB
        / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS capped FROM c1 WINDOW o AS (PARTITION BY source ORDER BY cap / w, bits)),
 c3 AS (SELECT source, bits, CASE WHEN capped THEN cap ELSE least(cap, w * (target - coalesce(sum(cap) FILTER (capped) OVER p, 0)) / sum(w) FILTER (NOT capped) OVER p) END / words AS level
        FROM c2 WINDOW p AS (PARTITION BY source)),
-r AS (SELECT b.doc_id, b.size, b.source, coalesce(floor(level), 0) AS whole, coalesce(level - floor(level), 0) AS p,
-      (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+r AS (SELECT b.doc_id, b.size, b.source, b.tie, coalesce(floor(level), 0) AS whole, coalesce(level - floor(level), 0) AS p,
+      (('0x' || substr(tie, 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
       FROM b LEFT JOIN c3 ON b.source IS NOT DISTINCT FROM c3.source AND b.bits = c3.bits),
 q AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds FROM r),
-l AS (SELECT q.*, s3.n, s3.target, s3.target - sum(whole * size) OVER (PARTITION BY q.source) AS wanted FROM q JOIN s3 ON q.source IS NOT DISTINCT FROM s3.source),
-t AS (SELECT *, odds IS NOT NULL AND sum(CASE WHEN odds IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY odds NULLS LAST, doc_id) - size / 2.0 <= wanted AS more FROM l)
+l AS (SELECT q.*, floor(odds / (1 + odds) * 4503599627370496.0::DOUBLE)::BIGINT AS rank, s3.n, s3.target, s3.target - sum(whole * size) OVER (PARTITION BY q.source) AS wanted
+      FROM q JOIN s3 ON q.source IS NOT DISTINCT FROM s3.source),
+t AS (SELECT *, rank IS NOT NULL AND sum(CASE WHEN rank IS NULL THEN 0 ELSE size END)
+      OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id NULLS LAST, tie ROWS UNBOUNDED PRECEDING) - size / 2.0 <= wanted AS more FROM l)
 SELECT doc_id, size, n::BIGINT AS source_size, target, (size * (whole + more::INT))::BIGINT AS taken FROM t""",
     "op7_near_dup": rf"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
-s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-      ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(list_slice(ws, i, i + 2), ' ')) END) AS sh FROM w),
-e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter, any_value(a.n) + any_value(b.n) - count(*) AS uni
-      FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM p WHERE 100 * inter >= 85 * uni),
+WITH RECURSIVE w AS (SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT r, doc_id, coalesce(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(list_slice(ws, i, i + 2), ' ')) END), []) AS sh FROM w),
+e AS (SELECT r, len(sh) AS n, unnest(sh) AS x FROM s WHERE doc_id IS NOT NULL),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS inter, any_value(a.n) + any_value(b.n) - count(*) AS uni FROM e a JOIN e b ON a.x = b.x AND a.r < b.r GROUP BY 1, 2),
+l AS (SELECT a, b FROM p WHERE 100 * inter >= 85 * uni
+      UNION SELECT a.r, b.r FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.r < b.r WHERE len(a.sh) > 0 AND len(b.sh) > 0),
 u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
-r(a, b) AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
-c AS (SELECT a, least(a, min(b)) AS c FROM r GROUP BY a)
-SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, coalesce(c.c, s.doc_id) AS component_id, coalesce(c.c, s.doc_id) = s.doc_id AS kept
-FROM s LEFT JOIN c ON s.doc_id = c.a""",
+t(a, b) AS (SELECT a, b FROM u UNION SELECT t.a, u.b FROM t JOIN u ON t.b = u.a),
+c AS (SELECT a, min(s.doc_id) AS c FROM t JOIN s ON t.b = s.r GROUP BY a)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, least(c.c, s.doc_id) AS component_id, coalesce(least(c.c, s.doc_id) = s.doc_id, true) AS kept
+FROM s LEFT JOIN c ON s.r = c.a""",
     "op8_decontaminate": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
-bw AS (SELECT DISTINCT item_id, least(10, len(ws)) AS k, array_to_string(list_slice(ws, i, i + least(10, len(ws)) - 1), ' ') AS x
+bp AS (SELECT item_id, i - 1 AS j, least(10, len(ws)) AS k, array_to_string(list_slice(ws, i, i + least(10, len(ws)) - 1), ' ') AS x
        FROM (SELECT *, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS i FROM b WHERE len(ws) > 0)),
+bw AS (SELECT DISTINCT item_id, k, x FROM bp),
 dw AS (SELECT doc_id, k, i, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS x
        FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(ws) >= k)),
 m AS (SELECT doc_id, item_id, dw.k, i FROM dw JOIN bw ON dw.x = bw.x AND dw.k = bw.k),
 h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY 1),
-t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS l FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY 1)
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS l FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY 1),
+r AS (SELECT doc_id, item_id, dw.k, i, j, i - row_number() OVER (PARTITION BY doc_id, item_id, i - j ORDER BY i) AS g FROM dw JOIN bp ON dw.x = bp.x AND dw.k = bp.k),
+f AS (SELECT doc_id, item_id, min(i) - 1 AS a, min(j) AS j, count(*) + any_value(k) - 1 AS n FROM r GROUP BY doc_id, item_id, i - j, g),
+z AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, a, item_id, j) = 1)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(z.n, 0)::BIGINT AS longest_words, coalesce(z.a, -1)::BIGINT AS longest_at, coalesce(z.item_id::VARCHAR, '') AS longest_item, coalesce(z.j, -1)::BIGINT AS longest_item_at
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN z USING (doc_id)""",
     "op4_chat": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
       UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
@@ -150,10 +160,12 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sum(length(role) + length(esc) + 24)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id""",
     "op9_top_k": """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
-      WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
-FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5""",
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.r AS c, c.vec_id,
+      coalesce(list_sum(list_transform(range(1, least(len(q.x), len(c.x)) + 1), lambda i: q.x[i]::HUGEINT * c.x[i]::HUGEINT)), 0) AS exact
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+t AS (SELECT *, least(greatest(exact, -9223372036854775808), 9223372036854775807)::BIGINT AS score FROM s)
+SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, c))::INT AS rank, vec_id, score
+FROM t QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, c) <= 5""",
 }

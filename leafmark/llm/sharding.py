@@ -1,6 +1,6 @@
 """Sharding by a Feistel permutation with cycle walking over global row numbers.
 
-Rows get gapless numbers in the order of (doc_id, checksum, size). A keyed Feistel network over Z_a x Z_b, with a * b just above the number of rows,
+Rows get gapless numbers in the order of (doc_id, checksum, size), null ids first. A keyed Feistel network over Z_a x Z_b, with a * b just above the number of rows,
 permutes the numbers; a result beyond the last row is permuted again until it is one (cycle walking), so the result is a permutation of exactly
 the rows. Position p is shard p mod n_shards, slot p div n_shards: shard sizes differ by one row at most, slots have no gaps, and any row's place
 can be computed from its number, and the row from its place, without the other rows (inverse()).
@@ -9,7 +9,7 @@ Scale. One range partitioning by key, in which also rows of one id are split by
 is gathered in one task.
 
 Cases: a null text has no bytes (size 1, checksum 0); null ids come first; repeated rows get numbers of their own; an empty table gives an
-empty result; all other columns are kept, and the columns this adds replace ones of the same names.
+empty result; all other columns are kept, those that have the name of a column added here under that name with `_source` after it.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import named, packed, written
 
 ROUNDS, PRIME = 6, (1 << 31) - 1
 
@@ -79,18 +79,25 @@ def numbered(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, int]
     return out.withColumn(name, F.col("_before") + F.col(mid).bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_before", mid), total
 
 
-def sharded(docs: DataFrame, n_shards: int, seed: int, keep: list[str] | None = None) -> DataFrame:
-    """docs (or the columns `keep` of it, and no others) with size, text_crc32, shard and slot."""
+def sharded(docs: DataFrame, n_shards: int, seed: int, keep: list[str] | None = None, add: tuple[str, ...] = ("size", "text_crc32", "shard", "slot")) -> DataFrame:
+    """docs (or the columns `keep` of it, and no others) with size, text_crc32, shard and slot, or those of them that `add` names."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    made = ["size", "text_crc32", "shard", "slot", "_row"]
-    kept = [c for c in (keep if keep is not None else docs.columns) if c not in made]
-    sized = docs.select(*kept, (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    rows, total = numbered(sized, ["doc_id", "text_crc32", "size"], "_row")
+    kept = docs.columns if keep is None else keep
+    sized = docs.select(packed(*[named(c) for c in kept]), F.col("doc_id").alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    rows, total = numbered(sized, ["id", "text_crc32", "size"], "place")
     feistel = Feistel(total, seed)
 
     @F.pandas_udf("long")
     def place(row: pd.Series) -> pd.Series:
         return pd.Series(feistel.permute(row.to_numpy()))
 
-    at = rows.withColumn("_row", place("_row"))
-    return at.withColumn("shard", (F.col("_row") % n_shards).cast("int")).withColumn("slot", F.expr(f"_row div {n_shards}")).drop("_row")
+    at = rows.withColumn("place", place("place")).withColumn("shard", (F.col("place") % n_shards).cast("int")).withColumn("slot", F.expr(f"place div {n_shards}"))
+    taken, columns = {c.lower() for c in (*add, *kept)}, []
+    for c in kept:
+        name = c
+        if c.lower() in add:
+            while name.lower() in taken:
+                name += "_source"
+            taken.add(name.lower())
+        columns.append(F.col("row").getField(c).alias(name))
+    return at.select(*columns, *add)

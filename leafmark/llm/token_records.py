@@ -8,11 +8,13 @@ on any Hadoop file system under its commit protocol, so a lost executor or a ret
 The index (Parquet, folder `index`) has file, ordinal, offset, length, doc_id, n_tokens, start (ids of all records before) and ids_crc32
 for each record; read_records() fetches any subset of it, in any order, without reading frames one after another.
 
-Scale. Documents are range-partitioned by id and sorted within partitions, so file order is id order without a global sort in one task; files
-hold at most FILE_ROWS records, also where one id repeats; only per-file totals are summed in one place.
+Scale. Documents are range-partitioned by id and sorted within partitions, so file order is id order without a global sort in one task. A worker
+hands frames on in bundles of at least a megabyte and at least the largest frame, so a bundle is less than two such; a file holds as many bundles
+as keep it within FILE_BYTES (one, if the largest document alone is beyond it). Only per-file totals are summed in one place.
 
-Cases: a null or empty text has just the end id; a null id is kept (it sorts first, has id 0); rows with one id are ordered by their text's
-hash; an empty table gives an empty index; other columns are ignored. A checksum that fails is an error.
+Cases: a null or empty text has just the end id; strings of a tokenizer's special tokens in a text become those tokens, as the library's encode() has it;
+a null id is kept (it sorts first, has id 0); rows with one id are ordered by their text's hash; an empty table gives an empty index; other columns are
+ignored. A checksum that fails is an error. A document whose frame is beyond 2 GB cannot be read back by Spark.
 """
 
 from __future__ import annotations
@@ -33,9 +35,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, new_path, slices, written
+from .common import bound_batches, drop_written, join_small, new_path, slices, written
 
-FILE_ROWS = 20_000
+FILE_BYTES, BUNDLE_BYTES = 64 << 20, 1 << 20
 #: Pieces whose ids a worker remembers in each of two generations.
 PIECES = 400_000
 
@@ -79,10 +81,11 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path) as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
+        special = [re.escape(x["content"]) for x in spec.get("added_tokens") or []]
+        self.special = re.compile("|".join(special) if special else r"(?!)")  # texts that hold one are never cut
         self.cuts = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.tokenize, self.code = self.tokenizer.model.tokenize, self.dtype.char
@@ -106,7 +109,7 @@ class PieceEncoder:
         """Ids of each text. Texts whose spaces are all lone ones are cut together, and what they share is looked up once."""
         out, even, heads = [], [], []
         for i, t in enumerate(texts.to_pylist()):
-            head, *rest = [t or ""] if not t or not self.cuts else _CUT.split(t) if (odd := t[0].isspace() or t[-1].isspace() or _TWO_SPACES.search(t)) else t.split(" ", 1)
+            head, *rest = [t or ""] if not t or not self.cuts or self.special.search(t) else _CUT.split(t) if (odd := t[0].isspace() or t[-1].isspace() or _TWO_SPACES.search(t)) else t.split(" ", 1)
             if rest and not odd:
                 even.append(i)
                 heads.append(head)
@@ -161,32 +164,40 @@ def parse(payload: memoryview) -> tuple[int | None, np.ndarray]:
     return doc_id if has_id else None, np.frombuffer(payload, f"<u{width}", n, _HEAD.size)
 
 
-def _framed(path: str, end_id: int, batches):
+def _framed(path: str, end_id: int, bundle: int, batches):
     if path not in _encoders:
         _encoders[path] = PieceEncoder(path)
     encoder = _encoders[path]
     end = np.array([end_id], encoder.dtype).tobytes()
     width = encoder.dtype.itemsize
+    held, size = [], 0
     for batch in slices(batches, most=2 << 20):
         out = []
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
             ids += end
-            out.append(frame(_HEAD.pack(doc_id or 0, doc_id is not None, width, len(ids) // width) + ids)[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
+            held.append(frame(_HEAD.pack(doc_id or 0, doc_id is not None, width, len(ids) // width) + ids))
+            size += len(held[-1])
+            if size >= bundle:
+                out.append(b"".join(held)[:-1])
+                held, size = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frames"])
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["frames"])
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["file", "ordinal", "offset", "length", "doc_id", "n_tokens", "before", "ids_crc32"]
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-            data, at, before, rows = memoryview(content.as_buffer()), 0, 0, []
+            data, at, before, ordinal, rows = memoryview(content.as_buffer()), 0, 0, 0, []
             while at < len(data):
                 payload, after = unframe(data, at)
                 doc_id, ids = parse(payload)
-                rows.append((path, len(rows), at, after - at, doc_id, len(ids), before, zlib.crc32(ids.astype("<u4").tobytes())))
-                at, before = after, before + len(ids)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))], names)
+                rows.append((path, ordinal, at, after - at, doc_id, len(ids), before, zlib.crc32(ids.astype("<u4").tobytes())))
+                at, before, ordinal = after, before + len(ids), ordinal + 1
+                if len(rows) == 50_000 or at == len(data):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))], names)
+                    rows = []
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -195,14 +206,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    frames = keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(partial(_framed, tokenizer, end_id), "frame binary")
-    frames.select(F.col("frame").cast("string")).write.option("maxRecordsPerFile", FILE_ROWS).option("compression", "none").text(f"{path}/shards")
+    largest = keyed.agg(F.coalesce(F.max(F.octet_length("text")), F.lit(0))).first()[0]
+    bundle = max(BUNDLE_BYTES, 4 * (largest + 16))  # a token id takes 4 bytes at most and stands for a byte at least
+    frames = keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(partial(_framed, tokenizer, end_id, bundle), "frames binary")
+    frames.select(F.col("frames").cast("string")).write.option("maxRecordsPerFile", max(1, FILE_BYTES // (2 * bundle))).option("compression", "none").text(f"{path}/shards")
     files = spark.read.format("binaryFile").load(f"{path}/shards").select("path", "content")
     rows = written(files.mapInArrow(_listed, "file string, ordinal long, offset long, length long, doc_id long, n_tokens long, before long, ids_crc32 long"), "records")
     # Spark numbers files by task, then by file of the task; there are as many rows here as files
     place = F.struct(F.regexp_extract("file", r"part-(\d+)", 1).cast("int"), F.regexp_extract("file", r"-c(\d+)", 1).cast("int"))
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).withColumn("file_start", F.sum("n").over(Window.orderBy(place)) - F.col("n"))
-    rows.join(F.broadcast(totals.drop("n")), "file").withColumn("start", F.col("file_start") + F.col("before")).drop("before", "file_start").write.parquet(f"{path}/index")
+    totals = written(totals.drop("n"), "totals")
+    join_small(rows, totals, ["file"], "inner").withColumn("start", F.col("file_start") + F.col("before")).drop("before", "file_start").write.parquet(f"{path}/index")
+    drop_written(rows, totals)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -222,7 +237,7 @@ def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_records(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
-    """The records of some rows of the index (columns file, offset and rank, an order of the caller's): rank, doc_id, ids. A file has at most FILE_ROWS records."""
+    """The records of some rows of the index (columns file, offset and rank, an order of the caller's): rank, doc_id, ids. Files are read whole, and are at most FILE_BYTES long unless one document is."""
     bound_batches(spark)
     by_file = wanted.groupBy("file").agg(F.collect_list(F.struct("offset", "rank")).alias("wanted"))
     files = spark.read.format("binaryFile").load(f"{path}/shards").select(F.col("path").alias("file"), "content")

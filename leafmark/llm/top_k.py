@@ -9,14 +9,18 @@ Scale. Queries and vectors are packed into blocks of about BLOCK rows; every pai
 on the pair, worked off alone in bounded memory, and hands on k rows a query; a window over those picks the best. No block is broadcast or held
 twice in a task, and copies of one vector are spread over blocks by row.
 
-Cases: vectors that are null, empty or hold a null or non-finite component take no part, as queries or otherwise; shorter vectors count as padded with
-zeros; ties go to the smaller vec_id; rows that share a vec_id are separate rows, a query's own row alone is left out; null ids take no part; an
-empty table gives an empty result; other columns are ignored. Quantised components must fit in 31 bits (else an error).
+Vectors with a component beyond 31 bits have blocks of their own, which are scored with integers of any size.
+
+Cases: vectors that are null or hold a null or non-finite component take no part, as queries or otherwise; shorter vectors count as padded with
+zeros, so an empty one scores 0 with all; ties go to the smaller vec_id; rows that share a vec_id are separate rows, a query's own row alone is left out;
+null ids take no part; an empty table gives an empty result; other columns are ignored. A score beyond 64 bits counts as the largest (or smallest) long.
 """
 
 from __future__ import annotations
 
+import heapq
 from functools import partial
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -25,26 +29,24 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, written
 
-BLOCK, QUERIES_AT_ONCE = 4096, 512
+BLOCK, LARGE_BLOCK, QUERIES_AT_ONCE = 4096, 256, 512
 RESOLUTIONS = (4, 16)
 
 
 def _packed(scale: float, table: pa.Table) -> pa.Table:
-    """One row of a block's rows: their ids, and quantised components as a matrix, by vec_id."""
+    """One row of a block's rows: their ids, and quantised components as a matrix (32-bit integers, or doubles where one is larger), by vec_id."""
     order = np.lexsort((table.column("uid").to_numpy(), table.column("vec_id").to_numpy()))
     lists = table.column("embedding").combine_chunks()
     at = np.asarray(lists.offsets)
     size = np.diff(at)
     dim = int(size.max())
     x = np.floor(scale * np.asarray(lists.values, np.float64)[at[0] : at[-1]])
-    if len(x) and np.abs(x).max() >= 1 << 31:
-        raise ValueError("quantised components must fit in 31 bits")
-    out = np.zeros((len(size), dim), np.int32)
+    out = np.zeros((len(size), dim), np.float64 if len(x) and np.abs(x).max() >= 1 << 31 else np.int32)
     row = np.repeat(np.arange(len(size)), size)
     out[row, np.arange(len(x)) - np.repeat(at[:-1] - at[0], size)] = x
     pack = lambda a: pa.array([np.ascontiguousarray(a[order]).tobytes()], pa.binary())
     ids = (table.column(c).to_numpy().astype(np.int64) for c in ("vec_id", "uid"))
-    return pa.table([table.column("block").slice(0, 1).combine_chunks(), pa.array([dim], pa.int32()), *(pack(i) for i in ids), pack(out)], ["block", "dim", "ids", "uids", "x"])
+    return pa.table([table.column("block").slice(0, 1).combine_chunks(), pa.array([dim], pa.int32()), pa.array([out.dtype.str]), *(pack(i) for i in ids), pack(out)], ["block", "dim", "kind", "ids", "uids", "x"])
 
 
 def segment_stats(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,9 +57,25 @@ def segment_stats(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray,
     return np.hstack((mean, dev)), np.linalg.norm(x, axis=1) * 1e-9 + 1e-9, root
 
 
+def _large(q: np.ndarray, q_uid: np.ndarray, x: np.ndarray, x_uid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """best_of() with integers of any size; scores are cut to 64 bits."""
+    dim = min(q.shape[1], x.shape[1])
+    whole = lambda m: [[int(v) for v in row] for row in m[:, :dim].tolist()]
+    rows, cols, scores, others = [], [], [], whole(x)
+    for i, a in enumerate(whole(q)):
+        found = ((max(-(2**63), min(2**63 - 1, sum(map(mul, a, b)))), j) for j, b in enumerate(others) if q_uid[i] != x_uid[j])
+        for score, j in heapq.nsmallest(k, found, key=lambda t: (-t[0], t[1])):
+            rows.append(i)
+            cols.append(j)
+            scores.append(score)
+    return np.array(rows, np.int64), np.array(cols, np.int64), np.array(scores, np.int64)
+
+
 def best_of(q: np.ndarray, q_uid: np.ndarray, x: np.ndarray, x_uid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row of x, score) of each query's k best rows of x, which is in the order that ties prefer; its own row left out."""
     dim = max(q.shape[1], x.shape[1])
+    if q.dtype != np.int32 or x.dtype != np.int32:
+        return _large(q, q_uid, x, x_uid, k)
     q, x = (np.pad(m, ((0, 0), (0, dim - m.shape[1]))).astype(np.float64) for m in (q, x))
     exact = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * dim < 2**53
     own = q_uid[:, None] == x_uid[None, :]
@@ -101,7 +119,7 @@ def best_of(q: np.ndarray, q_uid: np.ndarray, x: np.ndarray, x_uid: np.ndarray,
 def _searched(k: int, batches):
     def matrix(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids, uids = (np.frombuffer(row[f"{side}_{c}"], np.int64) for c in ("ids", "uids"))
-        return ids, uids, np.frombuffer(row[f"{side}_x"], np.int32).reshape(len(ids), row[f"{side}_dim"])
+        return ids, uids, np.frombuffer(row[f"{side}_x"], row[f"{side}_kind"]).reshape(len(ids), row[f"{side}_dim"])
 
     for batch in batches:
         for i in range(batch.num_rows):
@@ -117,18 +135,20 @@ def top_k(vectors: DataFrame, queries: Column, k: int, scale: float) -> DataFram
     """The k best rows of vectors (vec_id, embedding) for each of its rows where `queries` is true: query_id, rank, vec_id, score."""
     bound_batches(vectors.sparkSession)
     whole = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
+    large = F.exists("embedding", lambda v: F.abs(v * scale) >= float((1 << 31) - 1))
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.coalesce(queries, F.lit(False)).alias("is_query"))
-    rows = written(rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & whole).withColumn("uid", F.monotonically_increasing_id()), "vectors")
-    n, asked = rows.agg(F.count("*"), F.count_if("is_query")).first()
-    blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-asked // BLOCK))
-
-    def packed(part: DataFrame, count: int, side: str) -> DataFrame:
-        dealt = part.withColumn("block", F.pmod(F.xxhash64("uid"), F.lit(count)).cast("int"))
-        made = dealt.groupBy("block").applyInArrow(lambda t: _packed(scale, t), "block int, dim int, ids binary, uids binary, x binary")
-        return made.select(F.col("block").alias(f"{side}_block"), *[F.col(c).alias(f"{side}_{c}") for c in ("dim", "ids", "uids", "x")])
-
-    x = packed(rows, blocks, "x").withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    q = packed(rows.where("is_query"), query_blocks, "q").withColumn("x_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = written(rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & whole).withColumn("large", large).withColumn("uid", F.monotonically_increasing_id()), "vectors")
+    n, asked, big, big_asked = rows.agg(F.count_if(~F.col("large")), F.count_if(F.col("is_query") & ~F.col("large")), F.count_if("large"), F.count_if(F.col("is_query") & F.col("large"))).first()
+    of = lambda rows, most: -(-rows // most)
+    blocks, query_blocks = of(n, BLOCK) + of(big, LARGE_BLOCK), of(asked, BLOCK) + of(big_asked, LARGE_BLOCK)
+
+    def packed(part: DataFrame, plain: int, count: int, side: str) -> DataFrame:
+        dealt = part.withColumn("block", F.when(F.col("large"), F.lit(plain) + F.pmod(F.xxhash64("uid"), F.lit(max(1, count - plain)))).otherwise(F.pmod(F.xxhash64("uid"), F.lit(max(1, plain)))).cast("int"))
+        made = dealt.groupBy("block").applyInArrow(lambda t: _packed(scale, t), "block int, dim int, kind string, ids binary, uids binary, x binary")
+        return made.select(F.col("block").alias(f"{side}_block"), *[F.col(c).alias(f"{side}_{c}") for c in ("dim", "kind", "ids", "uids", "x")])
+
+    x = packed(rows, of(n, BLOCK), blocks, "x").withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(max(0, query_blocks - 1)))))
+    q = packed(rows.where("is_query"), of(asked, BLOCK), query_blocks, "q").withColumn("x_block", F.explode(F.sequence(F.lit(0), F.lit(max(0, blocks - 1)))))
     found = x.join(q, ["x_block", "q_block"]).mapInArrow(partial(_searched, k), "q_uid long, query_id long, vec_id long, uid long, score long")
     best = Window.partitionBy("q_uid").orderBy(F.col("score").desc(), "vec_id", "uid")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -59,8 +59,7 @@ def test_contamination_cases(spark, docs):
     got = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
     assert (got[5].n_words, got[5].n_hit, got[5].item_ids) == (16, 16, [1, 5]) and got[8].contaminated
     assert (got[4].n_hit, got[4].item_ids) == (2, [2]) and not got[3].contaminated and not got[0].n_words
-    longest = decontaminate.longest_matches(docs.where("doc_id = 7"), bench.where("item_id = 1")).collect()
-    assert [tuple(r) for r in longest] == [(7, 1, 0, 0, 16)]
+    assert (got[7].longest_words, got[7].longest_at, got[7].longest_item, got[7].longest_item_at) == (16, 0, 1, 0)
     assert decontaminate.clean_documents(docs, bench).where("doc_id in (4, 5, 6, 7, 8)").count() == 0
     assert decontaminate.contamination(docs, bench.limit(0)).where("contaminated").count() == 0
 
@@ -183,7 +182,6 @@ def test_token_records_round_trip(spark, docs):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     odd = ["a  b", " a", "a ", "\n b  c\n\n d", "x\t y", "<|endoftext|> z", "it 's we'll don't", "a  b", "a\x1c b", "end.\nNext, (one) x.\n\ny", "a.\nb", "1.\nA2"]
     assert [np.frombuffer(b, "<u2").tolist() for b in token_records.PieceEncoder(path).encode(pa.array(odd))] == [plain.encode(t, add_special_tokens=False).ids for t in odd]
     rows = sorted(token_records.token_table(docs, path, 2).collect(), key=lambda r: r.start)
