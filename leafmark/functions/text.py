@@ -16,8 +16,10 @@ def _match_key(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def match_key(text: Column | str) -> Column:
-    """NFC and full case folding, as keyword matching compares texts. Null stays null."""
-    return F.pandas_udf(_match_key, "string")(text)
+    """NFC and full case folding, as keyword matching compares texts. Null stays null. Pure ASCII texts, whose key is their lower case, stay in the JVM."""
+    text = F.col(text) if isinstance(text, str) else text
+    plain = text.rlike(r"\A[\x00-\x7F]*\z")
+    return F.when(plain, F.lower(text)).otherwise(F.pandas_udf(_match_key, "string")(F.when(~plain, text)))
 
 
 def fold_word(word: str) -> str:
@@ -46,14 +48,43 @@ def clean_line(text: Column) -> Column:
     return F.trim(F.regexp_replace(plain, r"[ \t]+", " "))
 
 
+#: Fixed value: a roman number up to 3999 as a pattern, also with four equal letters where only the five form is missing
+_ROMAN = "M{0,3}(?:CM|CD|D?C{0,3})(?:XC|XL|L?X{0,3})(?:IX|IV|V?I{0,3})"
+
+
 def is_page_number(text: Column) -> Column:
-    """A decimal or roman page number, alone or with a total."""
-    return F.trim(text).rlike(r"(?i)^(?:-\s*)?(?:[0-9]{1,4}|[ivxlc]{1,7})(?:\s*/\s*[0-9]{1,4})?(?:\s*-)?$")
+    """A decimal number of up to four digits or a well-formed roman one, alone, after "trang", or with a total."""
+    return F.trim(text).rlike(rf"(?i)^(?:trang\s+)?(?:[0-9]{{1,4}}|(?=[ivxlcdm]){_ROMAN})(?:\s*/\s*[0-9]{{1,4}})?$")
 
 
 def is_connector_line(text: Column) -> Column:
-    """Only strokes and dots, in tokens of two characters at most."""
-    return F.trim(text).rlike(r"^[1lI|/\\\-_zE.,\s]+$") & F.forall(F.split(F.trim(text), r"\s+"), lambda x: F.length(x) <= 2)
+    """Empty, or only strokes and dots in tokens of two characters at most."""
+    bare = F.regexp_replace(text, r"^\s+|\s+$", "")
+    return (bare == "") | (bare.rlike(r"^[1lI|/\\\-_zE.,\s]+$") & F.forall(F.split(bare, r"\s+"), lambda x: F.length(x) <= 2))
+
+
+def is_inside_number(text: Column, start: Column, end: Column) -> Column:
+    """Whether a separator and a digit stand right before or after the places start to end (from 0, end exclusive)."""
+    at = lambda i: F.when(i >= 0, F.substring(text, i + 1, F.lit(1)))
+    touches = lambda mark, digit: F.coalesce(at(mark).isin(".", ",", "-", "/") & at(digit).rlike("^[0-9]$"), F.lit(False))
+    return touches(start - 1, start - 2) | touches(end, end + 1)
+
+
+def accent_strip(text: Column) -> Column:
+    """Without diacritics, case kept; a barred d becomes d. Pure ASCII texts stay in the JVM."""
+    bare = F.pandas_udf(lambda s: s.map(lambda t: "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.category(c) == "Mn").replace("đ", "d").replace("Đ", "D"), na_action="ignore"), "string")
+    return F.when(text.rlike(r"\A[\x00-\x7F]*\z"), text).otherwise(bare(F.when(~text.rlike(r"\A[\x00-\x7F]*\z"), text)))
+
+
+def joined_lines(lines: Column) -> Column:
+    """Lines of a paragraph as one: a letter and a hyphen before a line that begins with a small letter are glued without the hyphen, others get a space between."""
+    glue = lambda acc, x: F.when(acc == "", x).when(acc.rlike(r"\p{L}-$") & x.rlike(r"^\p{Ll}"), F.concat(F.regexp_replace(acc, "-$", ""), x)).otherwise(F.concat_ws(" ", acc, x))
+    return F.aggregate(F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != ""), F.lit(""), glue)
+
+
+def repeated_tail(text: Column) -> Column:
+    """The text with a phrase of one to four words that ends it three times or more given once; as it is otherwise."""
+    return F.regexp_replace(text, r"(?i)(?<!\S)(\S+(?:\s+\S+){0,3}?)(?:\s+\1){2,}\s*$", "$1")
 
 
 def cer(reference: Column, prediction: Column) -> Column:

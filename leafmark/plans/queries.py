@@ -11,8 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import geometry, numbers
-from ..functions.text import accent_fold, cer, is_connector_line, is_page_number, shingles
+from ..functions.text import accent_fold, shingles
 from ..operators import keywords as kw
 from ..sources.tables import table
 
@@ -106,16 +105,6 @@ def single_word_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(F.broadcast(known), "folded").where(F.replace(F.lower("variant"), F.lit("ß"), F.lit("ss")) != F.col("keyword")).select("keyword", "variant", "n")
 
 
-@_query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM documents), d AS (SELECT * FROM (VALUES ('to'), ('on'), ('no')) d(keyword))
-SELECT keyword, w AS observed, count(*) AS n FROM t JOIN d ON replace(w, '0', 'o') = keyword WHERE w <> keyword GROUP BY 1, 2""")
-def confusable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens that a zero for an o makes equal to a keyword (the join of J05, without its number context)."""
-    tokens = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]+)"), 1)).alias("observed"))
-    known = spark.sql("SELECT * FROM (VALUES ('to'), ('on'), ('no')) AS d(keyword)")
-    hit = tokens.join(F.broadcast(known), F.translate("observed", "0", "o") == F.col("keyword")).where("observed <> keyword")
-    return hit.groupBy("keyword", "observed").agg(F.count("*").alias("n"))
-
-
 @_query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS page FROM documents)
 SELECT page::INT AS page, sum((length(lower(line)) - length(replace(lower(line), 'ing', ''))) // 3)::BIGINT AS n FROM l GROUP BY 1""")
 def page_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +116,7 @@ def page_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Duplicates, overlap, splits, samples
 
-_sql("exact_duplicates", "SELECT d.doc_id, f.first_id FROM @documents d JOIN (SELECT sha2(text, 256) AS h, min(doc_id) AS first_id FROM @documents GROUP BY 1) f ON sha2(d.text, 256) = f.h WHERE d.doc_id <> f.first_id", "SELECT doc_id, first_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents) WHERE doc_id <> first_id")
+_sql("exact_duplicates", "SELECT d.doc_id, f.first_id FROM @documents d JOIN (SELECT sha2(text, 256) AS h, min(doc_id) AS first_id FROM @documents GROUP BY 1) f ON sha2(d.text, 256) <=> f.h WHERE d.doc_id <> f.first_id", "SELECT doc_id, first_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents) WHERE doc_id <> first_id")
 _sql("edition_groups", "SELECT lang, source, count(*) AS editions, min(doc_id) AS first_id FROM @documents GROUP BY lang, source HAVING count(*) > 1")
 _sql("missing_and_unexpected", "SELECT doc_id, 'missing' AS side FROM @documents d LEFT ANTI JOIN @labels l USING (doc_id) UNION ALL SELECT doc_id, 'unexpected' AS side FROM @labels l LEFT ANTI JOIN @documents d USING (doc_id)", "SELECT doc_id, 'missing' AS side FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT doc_id, 'unexpected' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)")
 _sql("unit_set_guard", "SELECT count(*) AS differing FROM ((SELECT doc_id FROM @documents EXCEPT ALL SELECT doc_id FROM @labels) UNION ALL (SELECT doc_id FROM @labels EXCEPT ALL SELECT doc_id FROM @documents))")
@@ -138,21 +127,6 @@ _sql("evenly_spaced_sample", "SELECT source, doc_id FROM (SELECT source, doc_id,
 _sql("worklist_page", "SELECT doc_id, source, n_chars FROM @documents ORDER BY n_chars DESC, source, doc_id LIMIT 20 OFFSET 40")
 
 
-@_query(r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[^ \t\n\r\f\x0B]+') AS w FROM documents), b AS (SELECT item_id, regexp_extract_all(lower(text), '[^ \t\n\r\f\x0B]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d)),
-bs AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS i FROM b)),
-n AS (SELECT item_id, count(*) AS n FROM bs GROUP BY 1), p AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY 1, 2 HAVING count(*) >= 8)
-SELECT item_id, doc_id, shared, shared / n AS containment, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY shared DESC, doc_id)::INT AS rank FROM p JOIN n USING (item_id)) WHERE rank <= 3""")
-def page_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that share at least eight four-word shingles with an item, the best three of each by shared count (G07, O16; Jaccard is in page_overlap_jaccard): an equi-join on shingles, never all pairs."""
-    words = lambda t: F.regexp_extract_all(F.lower(t), F.lit(r"([^ \t\n\r\f\x0B]+)"), 1)
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.explode(shingles(words("text"), 4)).alias("s"))
-    items = table(spark, sf_dir, "benchmark").select("item_id", shingles(words("text"), 4).alias("all")).select("item_id", F.size("all").alias("n"), F.explode("all").alias("s"))
-    pairs = docs.join(items, "s").groupBy("item_id", "doc_id", "n").agg(F.count("*").alias("shared")).where("shared >= 8")
-    best = Window.partitionBy("item_id").orderBy(F.col("shared").desc(), "doc_id")
-    return pairs.withColumn("rank", F.row_number().over(best)).where("rank <= 3").select("item_id", "doc_id", "shared", (F.col("shared") / F.col("n")).alias("containment"), "rank")
-
-
 @_query(r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[^ \t\n\r\f\x0B]+') AS w FROM documents), b AS (SELECT item_id, regexp_extract_all(lower(text), '[^ \t\n\r\f\x0B]+') AS w FROM benchmark),
 ds AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d)),
 bs AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS i FROM b)),
@@ -160,7 +134,7 @@ dn AS (SELECT doc_id, count(*) AS n FROM ds GROUP BY 1 HAVING count(*) >= 20), b
 p AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY 1, 2 HAVING count(*) >= 8),
 j AS (SELECT item_id, doc_id, shared, shared / (dn.n + bn.n - shared) AS jaccard FROM p JOIN dn USING (doc_id) JOIN bn USING (item_id))
 SELECT item_id, doc_id, shared, jaccard, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY jaccard DESC, shared DESC, doc_id)::INT AS rank FROM j) WHERE rank <= 3""")
-def page_overlap_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and items of at least 20 four-word shingles each that share eight, the best three of each item by Jaccard, shared count and id (G07, O16, the text signal of J24)."""
     words = lambda t: F.regexp_extract_all(F.lower(t), F.lit(r"([^ \t\n\r\f\x0B]+)"), 1)
 
@@ -177,44 +151,6 @@ def page_overlap_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Measures of text against a reference
 
-_TURNS = "SELECT conv_id, turn, text AS reference, CASE WHEN turn % 5 = 4 THEN NULL ELSE replace(replace(substr(text, 1, 300), 'e', CASE WHEN turn % 2 = 0 THEN 'é' ELSE 'e' END), 'th', 'h') END AS prediction FROM conversations"
-
-
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.replace(F.replace(F.substring("text", 1, 300), F.lit("e"), F.when(F.col("turn") % 2 == 0, "é").otherwise("e")), F.lit("th"), F.lit("h"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("full"), F.substring("text", 1, 300).alias("reference"), F.when(F.col("turn") % 5 != 4, text).alias("prediction"))
-
-
-_PAIRS = "SELECT conv_id, turn, substr(text, 1, 300) AS reference, CASE WHEN turn % 5 <> 4 THEN replace(replace(substr(text, 1, 300), 'e', CASE WHEN turn % 2 = 0 THEN 'é' ELSE 'e' END), 'th', 'h') END AS prediction FROM conversations"
-# levenshtein() of the other engine counts bytes, so the letter that takes two is written as one that the texts do not hold
-_EDITS = f"SELECT conv_id, turn, length(reference) AS n, levenshtein(strip_accents(replace(reference, 'é', '#')), strip_accents(replace(coalesce(prediction, ''), 'é', '#'))) AS edits, prediction IS NULL AS missing FROM ({_PAIRS}) WHERE regexp_matches(reference, '^[\\x00-\\x7F]*$')"
-
-
-@_query(f"SELECT conv_id, turn, edits::INT AS edits, CASE WHEN n > 0 THEN edits / n END AS cer FROM ({_EDITS})")
-def character_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Character edits of the first 300 characters and their rate, where these are ASCII, a missing prediction counting in full."""
-    rows = _pairs(spark, sf_dir).where(F.col("reference").rlike(r"\A[\x00-\x7F]*\z"))
-    return rows.select("conv_id", "turn", F.levenshtein("reference", F.coalesce("prediction", F.lit(""))).alias("edits"), cer(F.col("reference"), F.col("prediction")).alias("cer"))
-
-
-@_query(f"SELECT sum(edits)::BIGINT AS edits, sum(n)::BIGINT AS n, sum(edits) / sum(n) AS micro, avg(CASE WHEN n > 0 THEN edits / n END) AS mean_of_pages, count(*) FILTER (n > 0) AS with_reference, count(*) FILTER (missing) AS missing FROM ({_EDITS})")
-def micro_macro_cer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Micro rate beside the mean of pages, over the rows and characters of character_error_rate."""
-    rows = character_error_rate(spark, sf_dir).join(_pairs(spark, sf_dir).select("conv_id", "turn", F.length("reference").alias("n"), F.col("prediction").isNull().alias("missing")), ["conv_id", "turn"])
-    return rows.agg(F.sum("edits").alias("edits"), F.sum("n").cast("long").alias("n"), (F.sum("edits") / F.sum("n")).alias("micro"), F.avg("cer").alias("mean_of_pages"), F.count_if(F.col("n") > 0).alias("with_reference"), F.count_if("missing").alias("missing"))
-
-
-@_query(rf"""WITH p AS ({_PAIRS}), r AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(reference, '[^\s]+')) AS w FROM p) GROUP BY 1, 2, 3),
-q AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(coalesce(prediction, ''), '[^\s]+')) AS w FROM p) GROUP BY 1, 2, 3)
-SELECT conv_id, sum(least(coalesce(r.n, 0), coalesce(q.n, 0)))::BIGINT AS matched, sum(coalesce(r.n, 0))::BIGINT AS reference, sum(coalesce(q.n, 0))::BIGINT AS predicted FROM r FULL JOIN q USING (conv_id, turn, w) GROUP BY 1""")
-def bag_of_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of the first 300 characters matched as multisets."""
-    bag = lambda c, n: _pairs(spark, sf_dir).select("conv_id", "turn", F.explode(F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(r"([^\s]+)"), 1)).alias("w")).groupBy("conv_id", "turn", "w").agg(F.count("*").alias(n))
-    both = bag("reference", "r").join(bag("prediction", "q"), ["conv_id", "turn", "w"], "full").fillna(0, ["r", "q"])
-    return both.groupBy("conv_id").agg(F.sum(F.least("r", "q")).alias("matched"), F.sum("r").alias("reference"), F.sum("q").alias("predicted"))
-
-
-# Whole texts and all rows; the three queries above keep their names, SQL and first 300 characters
 _WHOLE = "SELECT conv_id, turn, text AS reference, CASE WHEN turn % 5 <> 4 THEN replace(replace(text, 'e', CASE WHEN turn % 2 = 0 THEN 'é' ELSE 'e' END), 'th', 'h') END AS prediction FROM conversations"
 # levenshtein() of the other engine counts bytes, so each pair's characters are numbered and written as one byte each (127 different ones at most)
 _NUMBERED = f"SELECT *, array_to_string(list_distinct(string_split(coalesce(reference, '') || coalesce(prediction, ''), '')), '') AS chars, (SELECT string_agg(chr(i::INT), '' ORDER BY i) FROM range(1, 128) t(i)) AS bytes FROM ({_WHOLE})"
@@ -233,13 +169,13 @@ def _whole_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"SELECT conv_id, turn, edits::INT AS edits, CASE WHEN n > 0 THEN edits / n END AS cer FROM ({_WHOLE_EDITS})")
-def character_error_rate_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def character_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Character edits of whole texts and their rate, all rows, a missing prediction counting in full."""
     return _whole_edits(spark, sf_dir).select("conv_id", "turn", "edits", "cer")
 
 
 @_query(f"SELECT sum(edits)::BIGINT AS edits, sum(n)::BIGINT AS n, sum(edits) / sum(n) AS micro, avg(CASE WHEN n > 0 THEN edits / n END) AS mean_of_pages, count(*) FILTER (n > 0) AS with_reference, count(*) FILTER (missing) AS missing FROM ({_WHOLE_EDITS})")
-def micro_macro_cer_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def micro_macro_cer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro rate beside the mean of pages, over whole texts and all rows."""
     return _whole_edits(spark, sf_dir).agg(F.sum("edits").alias("edits"), F.sum("n").cast("long").alias("n"), (F.sum("edits") / F.sum("n")).alias("micro"), F.avg("cer").alias("mean_of_pages"), F.count_if(F.col("n") > 0).alias("with_reference"), F.count_if("missing").alias("missing"))
 
@@ -247,7 +183,7 @@ def micro_macro_cer_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(rf"""WITH p AS ({_WHOLE}), t AS (SELECT conv_id, turn, unnest(regexp_extract_all(reference, '[^\s]+')) AS w, 1 AS r, 0 AS q FROM p
 UNION ALL SELECT conv_id, turn, unnest(regexp_extract_all(prediction, '[^\s]+')), 0, 1 FROM p)
 SELECT conv_id, sum(least(r, q))::BIGINT AS matched, sum(r)::BIGINT AS reference, sum(q)::BIGINT AS predicted FROM (SELECT conv_id, turn, w, sum(r) AS r, sum(q) AS q FROM t GROUP BY 1, 2, 3) GROUP BY 1""")
-def bag_of_tokens_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bag_of_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of whole texts matched as multisets."""
     tokens = lambda c: F.transform(F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(r"([^\s]+)"), 1), lambda w: F.struct(w.alias("w"), F.lit(int(c == "reference")).alias("r"), F.lit(int(c == "prediction")).alias("q")))
     seen = _whole_pairs(spark, sf_dir).select("conv_id", "turn", F.inline(F.concat(tokens("reference"), tokens("prediction"))))
@@ -293,11 +229,9 @@ _GAPS = "WITH g AS (SELECT source, doc_id, CASE WHEN doc_id - lag(doc_id) OVER (
 _sql("repeated_title_segments", _GAPS)
 _sql("pagination_runs", "SELECT conv_id, turn - rn AS shift, count(*) AS n, min(turn) AS first_turn FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM @conversations WHERE length(text) > 60) GROUP BY conv_id, turn - rn")
 _sql("widest_gap", "SELECT user_id, max(gap) AS gap FROM (SELECT user_id, value - max(value + 1) OVER (PARTITION BY user_id ORDER BY value, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap FROM @events) WHERE gap > 0 GROUP BY user_id")
-_sql("order_agreement", "SELECT a.conv_id, count(*) AS pairs, avg(CASE WHEN length(a.text) <= length(b.text) THEN 1e0 ELSE 0e0 END) AS agreement FROM @conversations a JOIN @conversations b ON a.conv_id = b.conv_id AND a.turn < b.turn GROUP BY a.conv_id")
 _sql("weighted_quality", "SELECT source, sum(quality * n_chars) / sum(CASE WHEN quality IS NOT NULL THEN n_chars END) AS mean_quality, min(quality) AS worst, count(*) AS blocks, count(quality) AS measured FROM @documents LEFT JOIN @labels USING (doc_id) GROUP BY source")
 _sql("chunk_confidence", "SELECT source, CASE WHEN count(quality) = count(*) THEN min(quality) END AS confidence, CASE WHEN count(DISTINCT lang) = 1 THEN min(lang) ELSE 'mixed' END AS lang FROM @documents LEFT JOIN @labels USING (doc_id) GROUP BY source")
 _sql("ledger_state", "SELECT user_id, max_by(event_type, struct(ts, event_id)) AS state, count(*) AS events FROM @events GROUP BY user_id", "SELECT user_id, arg_max(event_type, {'ts': ts, 'event_id': event_id}) AS state, count(*) AS events FROM events GROUP BY user_id")
-_sql("matrix_read_back", "SELECT count(*) AS differing FROM (SELECT l_returnflag, l_linestatus, count(*) AS n FROM @lineitem GROUP BY 1, 2 EXCEPT ALL SELECT l_returnflag, l_linestatus, sum(n) AS n FROM (SELECT l_returnflag, l_linestatus, l_linenumber, count(*) AS n FROM @lineitem GROUP BY 1, 2, 3) GROUP BY 1, 2)")
 _sql("bounding_boxes", "SELECT l_orderkey, min(l_quantity) AS x0, min(l_extendedprice) AS y0, max(l_quantity) AS x1, max(l_extendedprice) AS y1 FROM @lineitem GROUP BY l_orderkey")
 _sql("column_alignment", "SELECT event_type, avg(CASE WHEN props RLIKE '[0-9]' THEN 1e0 ELSE 0e0 END) >= 0.5 AS right_aligned FROM @events GROUP BY event_type", "SELECT event_type, avg(CASE WHEN regexp_matches(props, '[0-9]') THEN 1e0 ELSE 0e0 END) >= 0.5 AS right_aligned FROM events GROUP BY event_type")
 _sql("numeric_tokens", r"SELECT doc_id, size(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)*', 0)) AS n FROM @documents", r"SELECT doc_id, len(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)*'))::INT AS n FROM documents")
@@ -305,22 +239,6 @@ _sql("text_layer_ratios", r"SELECT doc_id, regexp_count(text, '[a-zA-Z]') / leng
 _FURNITURE = "WITH l AS (SELECT DISTINCT source, doc_id, line FROM ({}) WHERE length(trim(line)) > 0), p AS (SELECT source, count(DISTINCT doc_id) AS pages FROM @documents GROUP BY source), k AS (SELECT source, line, count(*) AS n FROM l GROUP BY source, line) SELECT source, line, n FROM k JOIN p USING (source) WHERE n >= 2 AND n >= 0.03 * pages"
 _sql("running_lines", _FURNITURE.format("SELECT source, doc_id, explode(split(text, '\\\\n')) AS line FROM @documents"), _FURNITURE.format("SELECT source, doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"))
 
-_AMOUNTS = "VALUES ('(1.234)', 'vn'), ('–', 'vn'), ('12,5%', 'vn'), ('1.234.000', 'vn'), ('1,234.5', 'en'), ('-7', 'plain'), ('1.2.3', 'vn'), ('12 000', 'plain')"
-
-
-@_query("SELECT * FROM (VALUES ('(1.234)', 'vn', -1234::DECIMAL(38,9)), ('–', 'vn', 0), ('12,5%', 'vn', NULL), ('1.234.000', 'vn', 1234000), ('1,234.5', 'en', 1234.5), ('-7', 'plain', -7), ('1.2.3', 'vn', NULL), ('12 000', 'plain', 12000)) t(text, convention, amount)")
-def parsed_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Printed amounts as exact decimals."""
-    return spark.sql(f"SELECT * FROM ({_AMOUNTS}) AS t(text, convention)").withColumn("amount", numbers.parse_amount(F.col("text"), F.col("convention")))
-
-
-@_query("SELECT * FROM (VALUES ('t1', 'vn'), ('t2', 'en'), ('t3', 'plain'), ('t4', 'ambiguous')) t(table_id, convention)")
-def amount_conventions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The convention a table's amounts imply."""
-    cells = spark.sql("SELECT * FROM (VALUES ('t1', '1.234.000'), ('t1', '12'), ('t2', '1,234,000'), ('t3', '55'), ('t4', '1.234'), ('t4', '1,5')) AS t(table_id, text)")
-    return cells.groupBy("table_id").agg(numbers.convention(F.col("text")).alias("convention"))
-
-
 @_query("WITH b AS (SELECT l_orderkey, sum(l_quantity) AS q, count(*) AS n FROM lineitem GROUP BY 1) SELECT CASE WHEN n < 2 THEN 'INCONCLUSIVE' WHEN q = floor(q / 2) * 2 THEN 'CONSISTENT' ELSE 'VIOLATION' END AS status, count(*) AS n FROM b GROUP BY 1")
 def total_row_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums of detail rows against a stated total, as counts of outcomes (T19, A47); stated totals are even numbers here."""
@@ -329,27 +247,6 @@ def total_row_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.groupBy(F.when(F.col("n") < 2, "INCONCLUSIVE").when(F.col("q") == stated, "CONSISTENT").otherwise("VIOLATION").alias("status")).agg(F.count("*").alias("n"))
 
 
-_BOXES = "VALUES (1, 'a', 0e0, 0e0, 10e0, 10e0), (1, 'b', 5e0, 5e0, 15e0, 15e0), (1, 'c', 100e0, 0e0, 120e0, 10e0), (2, 'd', 0e0, 0e0, 4e0, 4e0), (2, 'e', 1e0, 1e0, 2e0, 2e0), (2, 'f', 3e0, 3e0, 3e0, 9e0)"
-
-
-@_query(f"""WITH b AS (SELECT * FROM ({_BOXES}) t(page, id, x0, y0, x1, y1)), p AS (SELECT a.page, a.id AS a, b.id AS b, greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0) AS i,
-(a.x1 - a.x0) * (a.y1 - a.y0) AS sa, (b.x1 - b.x0) * (b.y1 - b.y0) AS sb, (b.x0 + b.x1) / 2 BETWEEN a.x0 AND a.x1 AND (b.y0 + b.y1) / 2 BETWEEN a.y0 AND a.y1 AS holds FROM b a JOIN b ON a.page = b.page AND a.id < b.id)
-SELECT page, a, b, CASE WHEN sa + sb - i > 0 THEN i / (sa + sb - i) ELSE 0 END AS iou, CASE WHEN least(sa, sb) > 0 THEN i / least(sa, sb) ELSE 0 END AS overlap, holds FROM p""")
-def box_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes of a page against one another: a join on the page with a residual, never across pages."""
-    rows = spark.sql(f"SELECT page, id, named_struct('x0', cast(x0 as double), 'y0', cast(y0 as double), 'x1', cast(x1 as double), 'y1', cast(y1 as double)) AS box FROM ({_BOXES}) AS t(page, id, x0, y0, x1, y1)")
-    a, b = rows.alias("a"), rows.alias("b")
-    pairs = a.join(b, (F.col("a.page") == F.col("b.page")) & (F.col("a.id") < F.col("b.id")))
-    p, q = F.col("a.box"), F.col("b.box")
-    return pairs.select("a.page", F.col("a.id").alias("a"), F.col("b.id").alias("b"), geometry.iou(p, q).alias("iou"), geometry.overlap_ratio(p, q).alias("overlap"), geometry.holds_centre(p, q).alias("holds"))
-
-
-@_query("SELECT * FROM (VALUES ('12', true, false), ('xiv / 20', true, false), ('2024', true, false), ('page', false, false), ('l | -', false, true), ('--', false, true), ('1l', false, true), ('Ein Satz.', false, false)) t(text, page_number, connector)")
-def line_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page numbers and connector lines."""
-    lines = spark.sql("SELECT * FROM (VALUES ('12'), ('xiv / 20'), ('2024'), ('page'), ('l | -'), ('--'), ('1l'), ('Ein Satz.')) AS t(text)")
-    return lines.select("text", is_page_number(F.col("text")).alias("page_number"), is_connector_line(F.col("text")).alias("connector"))
-
 # Review, evaluation and publication
 
 _sql("review_queue", "SELECT keyword, variant, count(*) AS n, min(doc_id) AS first_doc FROM (SELECT lower(role) AS keyword, substr(text, 1, 3) AS variant, conv_id AS doc_id FROM @conversations WHERE text IS NOT NULL) GROUP BY keyword, variant")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +39,20 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     """The source inventory CSV, with missing values spelled "unknown"."""
     rows = spark.read.schema(INVENTORY).option("header", True).option("enforceSchema", False).csv(path)
     return rows.fillna("unknown", ["company_id", "year"])
+
+
+def read_again(df: DataFrame, name: str, form: str) -> DataFrame:
+    """df written in a text form (csv or json) to the folder named in spark.checkpoint.dir, which all executors share, and read from there with its own types.
+
+    Where the setting is missing, on a local master alone, a fresh temporary folder is taken.
+    """
+    spark = df.sparkSession
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='leafmark-')}"
+    path = f"{base.rstrip('/')}/leafmark-artifacts/{name}-{uuid.uuid4().hex}"
+    writer = df.write.option("ignoreNullFields", "false")
+    (writer.option("header", "true") if form == "csv" else writer).format(form).save(path)
+    return spark.read.format(form).option("header", "true").schema(df.schema).load(path)

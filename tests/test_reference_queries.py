@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from leafmark.plans.queries import ORACLE_SQL, QUERIES
+from leafmark.plans.layout_queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,7 +25,7 @@ def canonical(columns, rows):
     return sorted(columns), sorted(tuple(show(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_same_rows(spark, duck, name):
     got = QUERIES[name](spark, SF)
     want = duck.execute(ORACLE_SQL[name])

@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from leafmark.plans.queries import QUERIES
+from leafmark.plans.layout_queries import QUERIES
 
 
 def edit_distance(a, b):
@@ -29,9 +29,9 @@ def turns(spark, tmp_path_factory):
 def test_error_rates_cover_whole_texts(spark, turns):
     path, rows = turns
     want = [(c, turn, None if t is None else edit_distance(t, p or ""), len(t or "")) for c, turn, t, p in rows]
-    got = [tuple(r) for r in QUERIES["character_error_rate_whole"](spark, path).collect()]
+    got = [tuple(r) for r in QUERIES["character_error_rate"](spark, path).collect()]
     assert sorted(got, key=str) == sorted(((c, turn, e, e / n if n else None) for c, turn, e, n in want), key=str)
-    total = QUERIES["micro_macro_cer_whole"](spark, path).first()
+    total = QUERIES["micro_macro_cer"](spark, path).first()
     edits, n = sum(e or 0 for *_, e, _ in want), sum(n for *_, n in want)
     assert (total.edits, total.n, total.with_reference, total.missing) == (edits, n, 6, 2) and total.micro == edits / n
     assert total.mean_of_pages == pytest.approx(sum(e / n for *_, e, n in want if n) / 6)
@@ -48,7 +48,7 @@ def test_token_bags_cover_whole_texts(spark, turns):
     for (c, _), (r, q) in bags.items():
         if r or q:
             want[c] = tuple(x + y for x, y in zip(want.get(c, (0, 0, 0)), ((r & q).total(), r.total(), q.total())))
-    assert {r.conv_id: tuple(r)[1:] for r in QUERIES["bag_of_tokens_whole"](spark, path).collect()} == want
+    assert {r.conv_id: tuple(r)[1:] for r in QUERIES["bag_of_tokens"](spark, path).collect()} == want
 
 
 def test_overlap_is_ranked_by_jaccard(spark, tmp_path):
@@ -59,5 +59,5 @@ def test_overlap_is_ranked_by_jaccard(spark, tmp_path):
     spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[:22]))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     sets = {k: {tuple(w[i : i + 4]) for i in range(len(w) - 3)} for k, w in [*((d, t.split()) for d, t in rows), ("item", item)]}
     ranked = sorted(((-len(sets[d] & sets["item"]) / len(sets[d] | sets["item"]), -len(sets[d] & sets["item"]), d) for d, _ in rows if len(sets[d]) >= 20))[:3]
-    got = QUERIES["page_overlap_jaccard"](spark, str(tmp_path)).orderBy("item_id", "rank").collect()
+    got = QUERIES["page_overlap"](spark, str(tmp_path)).orderBy("item_id", "rank").collect()
     assert [tuple(r) for r in got] == [(1, d, -shared, -j, i + 1) for i, (j, shared, d) in enumerate(ranked)] and got[0].doc_id == 9
