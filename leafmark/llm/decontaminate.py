@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import bound_batches, slices, string_buffers
 
 #: Bytes of benchmark text that are searched at a time, and bytes of corpus text in a shard.
-PART_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
+PART_BYTES, SHARD_BYTES = 8 << 20, 4 << 20
 #: Bits of the table that tells which word pairs the benchmark has.
 PAIR_BITS = 24
 #: Occurrences followed for their longest match at a time.
