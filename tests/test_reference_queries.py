@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from leafmark.plans.routing_queries import ORACLE_SQL, QUERIES
+from leafmark.plans.structure_queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
