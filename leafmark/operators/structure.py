@@ -75,9 +75,9 @@ def table_preference(tables: DataFrame, models: DataFrame, page: str = "page") -
     box = lambda t: F.struct(*(F.col(f"{t}.{c}") for c in ("x0", "y0", "x1", "y1")))
     t, m = box("t"), box("m")
     shared = geometry.intersection(t, m)
-    holds = (F.col("t.engine") == "heuristic") & (geometry.area(m) > 0) & (shared >= geometry.area(m) * 0.8)
+    holds = (F.col("t.engine") == "heuristic") & (geometry.area(m) > 0) & (shared / geometry.area(m) >= 0.8)
     near = tables.alias("t").join(models.alias("m"), (F.col(f"t.{page}") == F.col(f"m.{page}")) & (shared > 0))
-    hit = near.where((geometry.area(t) > 0) & (shared >= geometry.area(t) * 0.5) | holds).select(F.col(f"t.{page}").alias(page), F.col("t.id").alias("id")).distinct()
+    hit = near.where((geometry.area(t) > 0) & (shared / geometry.area(t) >= 0.5) | holds).select(F.col(f"t.{page}").alias(page), F.col("t.id").alias("id")).distinct()
     return tables.join(hit.withColumn("superseded", F.lit(True)), [page, "id"], "left").fillna(False, ["superseded"])
 
 
@@ -162,13 +162,15 @@ def average_precision(reference: DataFrame, prediction: DataFrame, page: str = "
     def one(flat, truth) -> list[int]:
         """For each prediction a number whose bit i says that it is right at threshold i."""
         rows, have = np.asarray(flat, float).reshape(-1, 4), np.asarray(truth if truth is not None else (), float).reshape(-1, 4)
-        overlap, marks = iou_matrix(rows, have) if len(have) else np.zeros((len(rows), 0)), [0] * len(rows)
+        marks = [0] * len(rows)
+        overlap = iou_matrix(rows, have).tolist() if len(have) else []
+        most = max((max(o) for o in overlap), default=0.0)
         for bit, least in enumerate(THRESHOLDS):
-            free = np.ones(len(have), bool)
-            for i in range(len(rows)):
-                best = np.where(free, overlap[i], 0.0)
-                if len(best) and best.max() >= least:
-                    free[best.argmax()] = False
+            free = set(range(len(have))) if least <= most else set()
+            for i, row in enumerate(overlap if free else ()):
+                best = max(free, key=lambda j: (row[j], -j), default=None)
+                if best is not None and row[best] >= least:
+                    free.remove(best)
                     marks[i] |= 1 << bit
         return marks
 
@@ -180,14 +182,16 @@ def average_precision(reference: DataFrame, prediction: DataFrame, page: str = "
     listed = prediction.groupBy(page, "kind").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "id", box.alias("box")))).alias("p"))
     truth = reference.groupBy(page, "kind").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("id", box.alias("box")))), lambda x: x["box"])).alias("truth"))
     judged = listed.join(truth, [page, "kind"], "left").select(page, "kind", F.explode(F.arrays_zip(F.col("p.s").alias("s"), F.col("p.id").alias("id"), right(F.flatten("p.box"), "truth").alias("m"))).alias("x"))
-    flags = judged.select("kind", page, "x.id", "x.s", F.expr("floor(x.s * 1024)").alias("slice"), F.posexplode(F.array(*(F.shiftright("x.m", i).bitwiseAND(F.lit(1)) for i in range(len(THRESHOLDS))))).alias("t", "tp"))
-    sums = flags.groupBy("kind", "t", "slice").agg(F.sum("tp").alias("tps"), F.count("*").alias("n"))
-    w = Window.partitionBy("kind", "t").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("kind", "t", "slice", F.coalesce(F.sum("tps").over(w), F.lit(0)).alias("tps0"), F.coalesce(F.sum("n").over(w), F.lit(0)).alias("n0"))
-    inner = Window.partitionBy("kind", "t", "slice").orderBy("s", page, "id").rowsBetween(Window.unboundedPreceding, 0)
+    bits = [f"b{i}" for i in range(len(THRESHOLDS))]
+    flags = judged.select("kind", page, "x.id", "x.s", F.floor(F.col("x.s") * 1024).alias("slice"), *(F.shiftright("x.m", i).bitwiseAND(F.lit(1)).alias(b) for i, b in enumerate(bits)))
+    sums = flags.groupBy("kind", "slice").agg(*(F.sum(b).alias(b) for b in bits), F.count("*").alias("n"))
+    w = Window.partitionBy("kind").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("kind", "slice", *(F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_0") for c in [*bits, "n"]))
+    inner = Window.partitionBy("kind", "slice").orderBy("s", page, "id").rowsBetween(Window.unboundedPreceding, 0)
     totals = reference.groupBy("kind").agg(F.count("*").alias("total_gt"))
     counted = prediction.groupBy("kind").agg(F.count("*").alias("total_preds"))
-    run = flags.join(sums, ["kind", "t", "slice"]).join(totals, "kind").select("kind", "t", "total_gt", (F.col("tps0") + F.sum("tp").over(inner)).alias("hits"), (F.col("n0") + F.count("*").over(inner)).alias("seen"))
+    run = flags.select("kind", "slice", F.count("*").over(inner).alias("n"), *(F.sum(b).over(inner).alias(b) for b in bits)).join(sums, ["kind", "slice"]).join(totals, "kind")
+    run = run.select("kind", "total_gt", (F.col("n") + F.col("n_0")).alias("seen"), F.posexplode(F.array(*(F.col(b) + F.col(f"{b}_0") for b in bits))).alias("t", "hits"))
     recall = F.col("hits") / F.col("total_gt")
     near = F.floor(F.col("hits") * 100 / F.col("total_gt"))
     step = F.when(recall >= (near + 1) * 0.01, near + 1).when(recall < near * 0.01, near - 1).otherwise(near)

@@ -87,7 +87,7 @@ _MODELS = f"SELECT page, id, x0, y0, x1, y1 FROM ({_BOXES}) AS x WHERE id % 2 =
 _SHARED = "greatest(least(t.x1, m.x1) - greatest(t.x0, m.x0), 0) * greatest(least(t.y1, m.y1) - greatest(t.y0, m.y0), 0)"
 
 
-@_query(f"""SELECT page, id, engine, EXISTS (SELECT 1 FROM ({_duck(_MODELS)}) m WHERE m.page = t.page AND ({_SHARED} >= 0.5 * (t.x1 - t.x0) * (t.y1 - t.y0) OR t.engine = 'heuristic' AND {_SHARED} >= 0.8 * (m.x1 - m.x0) * (m.y1 - m.y0))) AS superseded FROM ({_duck(_ENGINES)}) t""")
+@_query(f"""SELECT page, id, engine, EXISTS (SELECT 1 FROM ({_duck(_MODELS)}) m WHERE m.page = t.page AND (({_SHARED}) / ((t.x1 - t.x0) * (t.y1 - t.y0)) >= 0.5 OR t.engine = 'heuristic' AND ({_SHARED}) / ((m.x1 - m.x0) * (m.y1 - m.y0)) >= 0.8)) AS superseded FROM ({_duck(_ENGINES)}) t""")
 def table_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables that give way to those found by a model."""
     return structure.table_preference(_rows(spark, sf_dir, _ENGINES), _rows(spark, sf_dir, _MODELS)).select("page", "id", "engine", "superseded")
