@@ -56,3 +56,43 @@ def read_again(df: DataFrame, name: str, form: str) -> DataFrame:
     writer = df.write.option("ignoreNullFields", "false")
     (writer.option("header", "true") if form == "csv" else writer).format(form).save(path)
     return spark.read.format(form).option("header", "true").schema(df.schema).load(path)
+
+
+RULE_FIELDS = ("schema_version", "updated_at_utc", "curator", "normalization_policy", "approved_global_aliases", "disallowed_false_positives")
+
+
+def rules(spark: SparkSession, path: str, schema_version: str) -> DataFrame:
+    """(status, keyword, alias, required_before, required_after) of a rule file, one JSON object. It is read on the driver because rules are bounded by the dictionary.
+
+    Refused with ValueError: a key said twice, unknown or missing fields, another version or policy, blank or untrimmed texts, an alias both approved and disallowed.
+    """
+    import json
+
+    def once(pairs):
+        if len(dict(pairs)) < len(pairs):
+            raise ValueError(f"a key occurs twice in {path}")
+        return dict(pairs)
+
+    def text(value, optional=False):
+        if value is None and optional:
+            return None
+        if not isinstance(value, str) or not value.strip() or value != value.strip():
+            raise ValueError(f"not a trimmed text in {path}: {value!r}")
+        return value
+
+    data = json.loads(spark.read.text(path, wholetext=True).first().value, object_pairs_hook=once)
+    if not isinstance(data, dict) or set(data) != set(RULE_FIELDS) or data["schema_version"] != schema_version or data["normalization_policy"] != "NFC_CASEFOLD":
+        raise ValueError(f"unknown fields, version or policy in {path}")
+    text(data["curator"])
+    rows, seen = [], {}
+    for field, status in (("approved_global_aliases", "ACCEPTED"), ("disallowed_false_positives", "REJECTED")):
+        for keyword, aliases in data[field].items():
+            for a in aliases:
+                a = {"alias": a} if isinstance(a, str) else a
+                if not set(a) <= {"alias", "required_before", "required_after"}:
+                    raise ValueError(f"unknown fields of a rule in {path}: {sorted(a)}")
+                row = status, text(keyword), text(a.get("alias")), text(a.get("required_before"), True), text(a.get("required_after"), True)
+                if seen.setdefault(row[1:3], status) != status:
+                    raise ValueError(f"approved and disallowed at once in {path}: {row[2]}")
+                rows.append(row)
+    return spark.createDataFrame(rows, "status string, keyword string, alias string, required_before string, required_after string").distinct()

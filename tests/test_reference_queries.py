@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from leafmark.plans.evidence_queries import ORACLE_SQL, QUERIES
+from leafmark.plans.binding_queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
