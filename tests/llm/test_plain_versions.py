@@ -248,6 +248,39 @@ def test_top_k_takes_any_finite_vector(spark):
     assert top_k.top_k(spark.createDataFrame(rows[:0], "vec_id long, embedding array<float>"), F.lit(True), 3, 256.0).count() == 0
 
 
+@pytest.mark.parametrize("group_bytes", [192 << 20, 200_000])
+def test_top_k_ships_vectors_few_times(spark, monkeypatch, group_bytes):
+    monkeypatch.setattr(top_k, "BLOCK", 64)
+    monkeypatch.setattr(top_k, "GROUP_BYTES", group_bytes, raising=False)
+    shipped, searched = spark.sparkContext.accumulator(0), top_k._searched
+
+    def counted(k, batches):
+        def seen():
+            for batch in batches:
+                shipped.add(batch.nbytes)
+                yield batch
+
+        yield from searched(k, seen())
+
+    monkeypatch.setattr(top_k, "_searched", counted)
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(2000, 20)), np.tile(rng.normal(size=20), (1000, 1))]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.lit(True), 3, 256.0).collect()
+    whole = np.floor(256 * x.astype(np.float64)).astype(np.int64)
+    score = whole @ whole.T
+    np.fill_diagonal(score, -(2**62))
+    best = np.argsort(-score, axis=1, kind="stable")[:, :3]
+    assert sorted(map(tuple, got)) == [(i, r + 1, int(j), int(score[i, j])) for i in range(3000) for r, j in enumerate(best[i])]
+    assert shipped.value < 30 * 3000 * (20 * 4 + 16)
+
+
+def test_top_k_scores_stop_at_64_bits(spark):
+    rows = [(0, [8e6] * 8), (1, [8e6] * 8), (2, [-8e6] * 8), (3, [1.0] * 8)]
+    got = top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0, 3, 256.0)
+    assert rows_of(got) == sorted([(0, 1, 1, 2**63 - 1), (0, 2, 3, 8 * 256 * 256 * 8_000_000), (0, 3, 2, -(2**63))], key=repr)
+
+
 def test_special_strings_are_the_librarys(spark):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
