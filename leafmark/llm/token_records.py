@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
 from array import array
@@ -35,21 +34,51 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, drop_written, join_small, new_path, slices, written
+from .common import bound_batches, drop_written, join_small, new_path, slices, string_buffers, written
 
 FILE_BYTES, BUNDLE_BYTES = 64 << 20, 1 << 20
 #: Pieces whose ids a worker remembers in each of two generations.
 PIECES = 400_000
 
+#: Bytes of text that are cut into pieces at a time, and characters beyond which a piece is not remembered.
+WINDOW, LONG = 4 << 20, 64
+
 _HEAD = struct.Struct("<qBBI")
-_TWO_SPACES = re.compile(r"\s\s")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 #: A byte-level model's character for each byte: itself if it prints, else the next from 256 on.
 _PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: b for b in _PRINTS} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTS)))}
 _SPACE = chr(_BYTE_CHARS[32])
 
+#: What a byte is: part of a letter, a digit, a mark (no apostrophe: it may begin a piece with letters), white space of three kinds, a byte to look behind.
+_OTHER, _LETTER, _DIGIT, _MARK, _WHITE, _BLANK, _NEWLINE, _LEAD = range(8)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[33:127] = _MARK
+_KINDS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KINDS[48:58] = _DIGIT
+_KINDS[39] = _OTHER
+_KINDS[[9, 11, 12, 13, 28, 29, 30, 31]] = _WHITE
+_KINDS[32], _KINDS[10] = _BLANK, _NEWLINE
+_KINDS[[0xC2, 0xC3, 0xE1, 0xE2, 0xE3]] = _LEAD
+_WIDE = np.array([0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
+def _kinds(raw: np.ndarray) -> np.ndarray:
+    """The kind of each byte of UTF-8. Beside ASCII only the letters from U+00C0 to U+00FF and white space are told apart."""
+    kind = _KINDS[raw]
+    look = np.flatnonzero(kind == _LEAD)
+    if len(look):
+        kind[look] = _OTHER
+        look = look[look < len(raw) - 1]
+        lead, second = raw[look], raw[look + 1]
+        for found, what in (((lead == 0xC3) & (second != 0x97) & (second != 0xB7), _LETTER), ((lead == 0xC2) & ((second == 0x85) | (second == 0xA0)), _WHITE)):
+            kind[look[found]] = kind[look[found] + 1] = what
+        look = look[(lead >= 0xE1) & (look < len(raw) - 2)]
+        point = (raw[look].astype(np.int64) & 15) << 12 | (raw[look + 1].astype(np.int64) & 63) << 6 | raw[look + 2] & 63
+        look = look[np.isin(point, _WIDE)]
+        kind[look] = kind[look + 1] = kind[look + 2] = _WHITE
+    return kind
+
 
 class Remembered(dict):
     """Ids of strings, worked out by `make` when first asked for. Two generations: what is not asked for while a new one fills up is forgotten."""
@@ -58,6 +87,8 @@ class Remembered(dict):
         self.most, self.make, self.old = most, make, {}
 
     def __missing__(self, key: str) -> bytes:
+        if len(key) > LONG:
+            return self.make(key)
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -66,15 +97,10 @@ class Remembered(dict):
         return ids
 
 
-_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-_MARKS = r"!-&(-/:-@\[-`{-~"  # no apostrophe: it may begin a piece with letters
-_PARTS = re.compile(rf"([{_LATIN}]+)([{_MARKS}]+)?(?:(\n)([{_LATIN}]+)([{_MARKS}]+)?)?")
-
-
 class PieceEncoder:
-    """Encodes whole texts. A byte-level tokenizer's own split always begins a new piece at a lone space between two characters that are no
-    white space, so there such texts are cut, equal pieces are encoded once, and the ids are those of the whole text. In the same way a piece of Latin
-    letters, marks and one line end is cut where its letters end or begin. Other tokenizers get whole texts."""
+    """Encodes whole texts. A byte-level tokenizer's own split always begins a new piece where letters, digits and marks meet each other, at a lone space
+    between two characters that are no white space, and at and after such a line end. There texts are cut, equal pieces are encoded once, and the ids are
+    those of the whole text. Texts with a special string, and those of other tokenizers, are not cut."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,8 +110,7 @@ class PieceEncoder:
         with open(path) as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
-        special = [re.escape(x["content"]) for x in spec.get("added_tokens") or []]
-        self.special = re.compile("|".join(special) if special else r"(?!)")  # texts that hold one are never cut
+        self.special = [x["content"] for x in spec.get("added_tokens") or []]
         self.cuts = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.tokenize, self.code = self.tokenizer.model.tokenize, self.dtype.char
@@ -95,47 +120,77 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        """Ids of a piece after a space. A word of letters there is one piece of the tokenizer's split, so the tokenizer's model gets it without that split."""
-        ascii_word = piece.isascii() and piece.isalpha()
-        found = None if ascii_word else _PARTS.fullmatch(piece)
-        if found and found[1] != piece:
-            word, *rest = found.groups()
-            return self.pieces[word] + b"".join([self.plain[x] for x in rest if x])
-        if not found and not ascii_word:
-            return self._plain(f" {piece}")
-        return array(self.code, [t.id for t in self.tokenize(_SPACE + piece if ascii_word else f" {piece}".encode().decode("latin-1").translate(_BYTE_CHARS))]).tobytes()
+        """Ids of what is one piece of the tokenizer's split: letters, digits or marks, maybe after a space. The tokenizer's model gets it without that split."""
+        if piece.isascii():
+            chars = _SPACE + piece[1:] if piece[0] == " " else piece
+        else:
+            chars = piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return array(self.code, [t.id for t in self.tokenize(chars)]).tobytes()
 
     def encode(self, texts: pa.Array) -> list[bytes]:
-        """Ids of each text. Texts whose spaces are all lone ones are cut together, and what they share is looked up once."""
-        out, even, heads = [], [], []
-        for i, t in enumerate(texts.to_pylist()):
-            head, *rest = [t or ""] if not t or not self.cuts or self.special.search(t) else _CUT.split(t) if (odd := t[0].isspace() or t[-1].isspace() or _TWO_SPACES.search(t)) else t.split(" ", 1)
-            if rest and not odd:
-                even.append(i)
-                heads.append(head)
-                out.append(b"")
-            else:
-                out.append(self._plain(head) + b"".join([self.pieces[x] for x in rest]))
-        if even:
-            for i, head, ids in zip(even, heads, self._joined(pc.split_pattern(texts.take(pa.array(even)), " ")), strict=True):
-                out[i] = self._plain(head) + ids
-        return out
-
-    def _joined(self, cut: pa.ListArray) -> list[bytes]:
-        """Ids of each row's pieces but the first."""
-        at = cut.offsets.to_numpy()
-        later = np.ones(at[-1], bool)
-        later[at[:-1]] = False
-        found = cut.values.filter(pa.array(later)).dictionary_encode()
-        ids = [self.pieces[x] for x in found.dictionary.to_numpy(zero_copy_only=False)]
-        data, code = np.frombuffer(b"".join(ids), self.dtype), found.indices.to_numpy()
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        start, n = np.cumsum(size) - size, size[code]
-        ends = np.cumsum(n)
-        tokens = data[np.repeat(start[code] - (ends - n), n) + np.arange(ends[-1])]
-        rows = np.concatenate([[0], ends])[at - np.arange(len(at))]
+        """Ids of each text. All texts are cut together, and what they share is looked up once."""
+        texts = texts.fill_null("")
+        whole = np.full(len(texts), not self.cuts)
+        for content in self.special if self.cuts else []:
+            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._joined(*string_buffers(texts))
+        cut = iter(self._joined(*string_buffers(texts.filter(pa.array(~whole)))))
+        return [self._plain(texts[i].as_py()) if w else next(cut) for i, w in enumerate(whole.tolist())]
+
+    def _joined(self, raw: np.ndarray, at: np.ndarray) -> list[bytes]:
+        """Ids of the texts between the places `at`."""
+        first = np.zeros(len(raw) + 1, bool)
+        first[at] = True
+        rows, parts, n, here = np.zeros(len(at), np.int64), [], 0, 0
+        while here < len(raw):
+            starts, plain, end = self._cut(raw, first, here)
+            tokens, before = self._looked_up(raw[here:end], starts, plain)
+            a, b = np.searchsorted(at, [here, end])
+            rows[a:b] = n + before[np.searchsorted(starts, at[a:b] - here)]
+            parts.append(tokens)
+            n, here = n + len(tokens), end
+        rows[np.searchsorted(at, len(raw)) :] = n
+        tokens = parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.uint8), *parts])
         return [tokens[a:b].tobytes() for a, b in pairwise(rows.tolist())]
 
+    def _cut(self, raw: np.ndarray, first: np.ndarray, here: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The places, from `here` on, at which pieces of the next window begin; which of them need the tokenizer's split; and where the window ends."""
+        size = WINDOW
+        while True:
+            end = min(here + size, len(raw))
+            kind = _kinds(raw[here:end])
+            known = kind - np.uint8(1) < 3  # letter, digit or mark: 0 becomes 255
+            cut = first[here:end].copy()
+            cut[1:] |= (kind[1:] != kind[:-1]) & known[1:] & known[:-1]
+            solid = kind < _WHITE
+            lone = np.flatnonzero((kind[1:-1] >= _BLANK) & solid[:-2] & solid[2:]) + 1
+            cut[lone] = True
+            cut[lone[kind[lone] == _NEWLINE] + 1] = True
+            cut[0] = True
+            if end < len(raw):  # the last bytes may be part of a character, or before one that is not seen
+                cut[-8:] = False
+            starts = np.flatnonzero(cut)
+            if end == len(raw):
+                break
+            if len(starts) > 1:
+                starts, end = starts[:-1], here + int(starts[-1])
+                break
+            size *= 2
+        known[starts[kind[starts] == _BLANK]] = True
+        return starts, ~np.logical_and.reduceat(known[: end - here], starts), end
+
+    def _looked_up(self, raw: np.ndarray, starts: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces as bytes, and where those of each piece begin; the end of the last one."""
+        offsets = np.append(starts, len(raw))
+        found = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
+        split = np.zeros(len(found.dictionary), bool)
+        split[found.indices.to_numpy()[plain]] = True
+        ids = [self.plain[x] if s else self.pieces[x] for x, s in zip(found.dictionary.to_numpy(zero_copy_only=False), split.tolist(), strict=True)]
+        out = pa.array(ids, pa.large_binary()).take(found.indices)
+        _, ends, data = out.buffers()
+        return np.frombuffer(data or b"", np.uint8), np.frombuffer(ends, np.int64)[: len(out) + 1]
+
 
 _encoders: dict[str, PieceEncoder] = {}
 
@@ -171,7 +226,7 @@ def _framed(path: str, end_id: int, bundle: int, batches):
     end = np.array([end_id], encoder.dtype).tobytes()
     width = encoder.dtype.itemsize
     held, size = [], 0
-    for batch in slices(batches, most=2 << 20):
+    for batch in slices(batches, most=4 << 20):
         out = []
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
             ids += end

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -291,6 +292,26 @@ def test_special_strings_are_the_librarys(spark):
     assert [np.frombuffer(b, "<u2").tolist() for b in token_records.PieceEncoder(path).encode(pa.array(texts))] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_texts_are_cut_where_letters_digits_and_marks_meet(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    same = lambda encoder, texts: [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(pa.array(texts, pa.string()))] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    encoder = token_records.PieceEncoder(path)
+    words, marks = ["tree", "été", "Weg"], ["(", "--", ".", "!?", "|"]
+    texts = [f"{a} {m}{w}{n} {w}{m}\n{a}{n}{m}{w}  {a}" for a in words for w in words for m in marks for n in range(20)]
+    assert same(encoder, texts)
+    assert len(encoder.pieces) + len(encoder.plain) <= 2 * len(words) + 2 * len(marks) + 20 + 10  # equal parts are encoded once, whatever they touch
+    atoms = [*"abZ05.,-'\"\n\t\r\x1c\x85\xa0é×ª\u1680\u2003\u3000\u0301Ж語😀", " ", " ", " the", "'s", "'ll", "  ", "\n\n", "<|endoftext|>"]
+    pick = random.Random(7)
+    texts = [None, "", *("".join(pick.choices(atoms, k=pick.randint(1, 30))) for _ in range(3000))]
+    for window in (16, 100, 4 << 20):
+        monkeypatch.setattr(token_records, "WINDOW", window)
+        assert same(token_records.PieceEncoder(path), texts)
+
+
 def test_token_files_are_bounded_in_bytes(spark, monkeypatch):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     monkeypatch.setattr(token_records, "FILE_BYTES", 40_000)
