@@ -147,7 +147,7 @@ def text_metrics(pairs: DataFrame, keys: list[str]) -> DataFrame:
             yield pd.concat([batch[keys].reset_index(drop=True), pd.DataFrame(rows, columns=MEASURES).astype("Int64")], axis=1)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.select(*keys).schema)
-    made = pairs.select(*keys, "reference", "prediction").mapInPandas(run, f"{fields}, {', '.join(f'{m} long' for m in MEASURES)}")
+    made = _dealt(pairs.select(*keys, "reference", "prediction")).mapInPandas(run, f"{fields}, {', '.join(f'{m} long' for m in MEASURES)}")
     rate = lambda top, bottom: F.when(F.col(bottom) > 0, top / F.col(bottom))
     return made.withColumns({"cer": rate(F.col("substitutions") + F.col("deletions") + F.col("insertions"), "chars"), "wer": rate(F.col("word_edits"), "words"), "der": rate(F.col("der_errors"), "slots"), "dser": rate(F.col("dser_errors"), "slots")})
 
