@@ -6,11 +6,15 @@ compared across pages."""
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def widest_gap(low: np.ndarray, high: np.ndarray) -> tuple[float, float]:
@@ -176,21 +180,56 @@ def matched_boxes(reference: DataFrame, prediction: DataFrame, page: str = "page
     """One-to-one pairs of reference and predicted boxes of a page (page, reference_id, predicted_id, iou) at or above a threshold: as many as can be, then of the greatest total overlap.
     Boxes without a partner have a row, too, with the other id null: misses and false alarms."""
 
-    def match(lefts: pd.Series, rights: pd.Series) -> pd.Series:
-        out = []
-        for left, right in zip(lefts, rights, strict=True):
-            a, b = _boxes(left), _boxes(right)
-            iou = iou_matrix(a, b)
-            pairs = assignment(np.where(iou >= threshold, min(iou.shape) + 1 + iou, 0)) if iou.size else []
-            alone = lambda n, taken: [k for k in range(n) if k not in taken]
-            rows = [{"r": r, "p": c, "iou": float(iou[r, c])} for r, c in pairs]
-            rows += [{"r": k, "p": None, "iou": None} for k in alone(len(a), {r for r, _ in pairs})]
-            out.append(rows + [{"r": None, "p": k, "iou": None} for k in alone(len(b), {c for _, c in pairs})])
-        return pd.Series(out)
-
-    both = _gathered(reference, page, "ids", "boxes").join(_gathered(prediction, page, "others", "guesses"), page, "full")
-    rows = both.withColumn("m", F.explode(F.pandas_udf(match, "array<struct<r: int, p: int, iou: double>>")("boxes", "guesses")))
-    return rows.select(page, F.element_at("ids", F.col("m.r") + 1).alias("reference_id"), F.element_at("others", F.col("m.p") + 1).alias("predicted_id"), "m.iou")
+    both = _gathered(reference, page, "ids", "boxes").join(_gathered(prediction, page, "others", "guesses"), page, "full").select(page, "ids", "boxes", "others", "guesses")
+    kinds = [f.dataType for f in both.schema]
+    schema = StructType([StructField(page, kinds[0]), StructField("reference_id", kinds[1].elementType), StructField("predicted_id", kinds[3].elementType), StructField("iou", DoubleType())])
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages, ids, boxes, others, guesses = batch.columns
+            a, b = (x.flatten().to_numpy(zero_copy_only=False).reshape(-1, 4) for x in (boxes, guesses))
+            sizes = [pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False).astype(np.int64) for x in (ids, others)]
+            r, c, iou = matched(a, b, *sizes, threshold)
+            alone = [np.setdiff1d(np.arange(len(x)), taken) for x, taken in ((a, r), (b, c))]
+            none = [np.zeros(len(x), np.int64) for x in alone]
+            at = [np.concatenate(x) for x in ((r, alone[0], none[1]), (c, none[0], alone[1]))]
+            missing = [np.repeat([False, False, True], [len(r), *map(len, alone)]), np.repeat([False, True, False], [len(r), *map(len, alone)])]
+            of = [np.repeat(np.arange(len(n)), n) for n in sizes]
+            on = np.concatenate((of[0][r], of[0][alone[0]], of[1][alone[1]]))
+            columns = [pages.take(pa.array(on)), *(x.flatten().take(pa.array(i, mask=m)) for x, i, m in zip((ids, others), at, missing, strict=True))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate((iou, *map(np.zeros_like, none))).astype(float), mask=missing[0] | missing[1])], names=schema.names)
+
+    return both.mapInArrow(match, schema)
+
+
+def matched(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (place in a, place in b, overlap) of the boxes of many pages, of which each has n in a and m in b. Where boxes have one candidate at most, it is theirs; other pages are assigned singly."""
+    pairs, first, second = n * m, np.cumsum(n) - n, np.cumsum(m) - m
+    page = np.repeat(np.arange(len(n)), pairs)
+    k = np.arange(len(page)) - (np.cumsum(pairs) - pairs)[page]
+    r, c = first[page] + k // np.maximum(m[page], 1), second[page] + k % np.maximum(m[page], 1)
+    iou = _ious(a[r], b[c])
+    hit = np.flatnonzero(iou >= threshold)
+    many = (np.bincount(r[hit], minlength=len(a))[r[hit]] > 1) | (np.bincount(c[hit], minlength=len(b))[c[hit]] > 1)
+    unclear = np.unique(page[hit][many])
+    hit = hit[~np.isin(page[hit], unclear)]
+    found = [(r[hit], c[hit], iou[hit])]
+    begins = np.cumsum(pairs) - pairs
+    for p in unclear:
+        gain = iou[begins[p] : begins[p] + pairs[p]].reshape(n[p], m[p])
+        chosen = np.array(assignment(np.where(gain >= threshold, min(gain.shape) + 1 + gain, 0)), int).reshape(-1, 2)
+        found.append((first[p] + chosen[:, 0], second[p] + chosen[:, 1], gain[chosen[:, 0], chosen[:, 1]]))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def _ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """iou_matrix() of box by box."""
+    wide = np.minimum(a[:, 2], b[:, 2]) - np.maximum(a[:, 0], b[:, 0])
+    tall = np.minimum(a[:, 3], b[:, 3]) - np.maximum(a[:, 1], b[:, 1])
+    both = np.clip(wide, 0, None) * np.clip(tall, 0, None)
+    area = lambda x: (x[:, 2] - x[:, 0]) * (x[:, 3] - x[:, 1])
+    union = area(a) + area(b) - both
+    return np.divide(both, union, out=np.zeros_like(both), where=union > 0)
 
 
 def detection_scores(matches: DataFrame, by: list[str] | None = None) -> DataFrame:
