@@ -53,6 +53,43 @@ def xy_cut(boxes: np.ndarray, min_gap: float = 3.0, leaf=by_lines) -> list[int]:
     return [int(i) for i in out]
 
 
+def small_cut(boxes: list[list[float]], min_gap: float = 3.0, tolerance: float = 6.0) -> list[int]:
+    """As xy_cut() with lines, for a few boxes, where arrays cost more than they save."""
+
+    def gap(nodes: list[int], axis: int) -> tuple[float, float]:
+        spans = sorted((boxes[i][axis], boxes[i][axis + 2]) for i in nodes)
+        width, begin, reach = 0.0, 0.0, spans[0][1]
+        for low, high in spans[1:]:
+            if low - reach > width:
+                width, begin = low - reach, reach
+            if high > reach:
+                reach = high
+        return width, begin
+
+    out, open_ = [], [list(range(len(boxes)))] if boxes else []
+    while open_:
+        nodes = open_.pop()
+        if len(nodes) > 1:
+            (wide, x), (tall, y) = gap(nodes, 0), gap(nodes, 1)
+            if max(wide, tall) >= min_gap:
+                side, end = (2, x) if wide > tall else (3, y)
+                open_ += [[i for i in nodes if boxes[i][side] > end], [i for i in nodes if boxes[i][side] <= end]]
+                continue
+            nodes.sort(key=lambda i: (boxes[i][1], boxes[i][0], i))
+        line = []
+        for i in nodes:
+            if line and boxes[i][1] - boxes[line[0]][1] > tolerance:
+                out += sorted(line, key=lambda k: (boxes[k][0], k))
+                line = []
+            line.append(i)
+        out += sorted(line, key=lambda k: (boxes[k][0], k))
+    return out
+
+
+#: Boxes of a page up to which small_cut() is taken
+SMALL = 48
+
+
 def _gathered(blocks: DataFrame, page: str, ids: str, boxes: str) -> DataFrame:
     """A row per page with the ids of its boxes in order and their corners, four numbers a box (NaN for a missing one)."""
     nan = F.lit(float("nan"))
@@ -71,6 +108,10 @@ def reading_order(blocks: DataFrame, page: str = "page", min_gap: float = 3.0) -
     def order(pages: pd.Series) -> pd.Series:
         out = []
         for flat in pages:
+            if len(flat) <= 4 * SMALL and not np.isnan(flat).any():
+                flat = flat.tolist()
+                out.append(small_cut([flat[k : k + 4] for k in range(0, len(flat), 4)], min_gap))
+                continue
             box = _boxes(flat)
             placed = ~np.isnan(box).any(1)
             at = np.flatnonzero(placed)
