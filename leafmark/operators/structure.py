@@ -5,6 +5,8 @@ Joins are on the document or page with geometry as a residual; folds run over on
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -150,6 +152,24 @@ def balance_pairs(totals: DataFrame, doc: str = "doc") -> DataFrame:
     return listed.select(doc, F.inline(paired("t")))
 
 
+#: Pairs of boxes up to which few_ious() is taken
+SMALL = 64
+
+
+def few_ious(a: list[list[float]], b: list[list[float]]) -> list[list[float]]:
+    """iou_matrix() of a few boxes, where arrays cost more than they save."""
+    out = []
+    for ax0, ay0, ax1, ay1 in a:
+        row, area = [], (ax1 - ax0) * (ay1 - ay0)
+        for bx0, by0, bx1, by1 in b:
+            wide, tall = (ax1 if ax1 < bx1 else bx1) - (ax0 if ax0 > bx0 else bx0), (ay1 if ay1 < by1 else by1) - (ay0 if ay0 > by0 else by0)
+            both = wide * tall if wide > 0 and tall > 0 else 0.0
+            union = area + (bx1 - bx0) * (by1 - by0) - both
+            row.append(both / union if union > 0 else 0.0)
+        out.append(row)
+    return out
+
+
 THRESHOLDS = [round(0.5 + 0.05 * i, 2) for i in range(10)]
 
 
@@ -161,12 +181,22 @@ def average_precision(reference: DataFrame, prediction: DataFrame, page: str = "
     """
     def one(flat, truth) -> list[int]:
         """For each prediction a number whose bit i says that it is right at threshold i."""
-        rows, have = np.asarray(flat, float).reshape(-1, 4), np.asarray(truth if truth is not None else (), float).reshape(-1, 4)
-        marks = [0] * len(rows)
-        overlap = iou_matrix(rows, have).tolist() if len(have) else []
-        most = max((max(o) for o in overlap), default=0.0)
+        flat, truth = np.asarray(flat, float), np.asarray(truth if truth is not None else (), float)
+        marks = [0] * (len(flat) // 4)
+        if not len(truth):
+            return marks
+        if len(flat) * len(truth) <= 16 * SMALL:
+            overlap = few_ious(*([v[k : k + 4] for k in range(0, len(v), 4)] for v in (flat.tolist(), truth.tolist())))
+        else:
+            overlap = iou_matrix(flat.reshape(-1, 4), truth.reshape(-1, 4)).tolist()
+        near = [(i, j, v) for i, row in enumerate(overlap) for j, v in enumerate(row) if v >= THRESHOLDS[0]]
+        if len({i for i, _, _ in near}) == len(near) == len({j for _, j, _ in near}):  # no box has a choice: the greedy pass takes each pair up to its overlap
+            for i, _, v in near:
+                marks[i] = (1 << bisect_right(THRESHOLDS, v)) - 1
+            return marks
+        most = max(max(o) for o in overlap)
         for bit, least in enumerate(THRESHOLDS):
-            free = set(range(len(have))) if least <= most else set()
+            free = set(range(len(truth) // 4)) if least <= most else set()
             for i, row in enumerate(overlap if free else ()):
                 best = max(free, key=lambda j: (row[j], -j), default=None)
                 if best is not None and row[best] >= least:
@@ -183,22 +213,24 @@ def average_precision(reference: DataFrame, prediction: DataFrame, page: str = "
     truth = reference.groupBy(page, "kind").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("id", box.alias("box")))), lambda x: x["box"])).alias("truth"))
     judged = listed.join(truth, [page, "kind"], "left").select(page, "kind", F.explode(F.arrays_zip(F.col("p.s").alias("s"), F.col("p.id").alias("id"), right(F.flatten("p.box"), "truth").alias("m"))).alias("x"))
     bits = [f"b{i}" for i in range(len(THRESHOLDS))]
-    flags = judged.select("kind", page, "x.id", "x.s", F.floor(F.col("x.s") * 1024).alias("slice"), *(F.shiftright("x.m", i).bitwiseAND(F.lit(1)).alias(b) for i, b in enumerate(bits)))
+    flags = judged.select("kind", page, "x.id", "x.s", "x.m", F.floor(F.col("x.s") * 1024).alias("slice"), *(F.shiftright("x.m", i).bitwiseAND(F.lit(1)).alias(b) for i, b in enumerate(bits)))
     sums = flags.groupBy("kind", "slice").agg(*(F.sum(b).alias(b) for b in bits), F.count("*").alias("n"))
     w = Window.partitionBy("kind").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("kind", "slice", *(F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_0") for c in [*bits, "n"]))
     inner = Window.partitionBy("kind", "slice").orderBy("s", page, "id").rowsBetween(Window.unboundedPreceding, 0)
     totals = reference.groupBy("kind").agg(F.count("*").alias("total_gt"))
     counted = prediction.groupBy("kind").agg(F.count("*").alias("total_preds"))
-    run = flags.select("kind", "slice", F.count("*").over(inner).alias("n"), *(F.sum(b).over(inner).alias(b) for b in bits)).join(sums, ["kind", "slice"]).join(totals, "kind")
-    run = run.select("kind", "total_gt", (F.col("n") + F.col("n_0")).alias("seen"), F.posexplode(F.array(*(F.col(b) + F.col(f"{b}_0") for b in bits))).alias("t", "hits"))
+    # precision falls between hits, so only rows that are right somewhere are looked at
+    run = flags.select("kind", "slice", "m", F.count("*").over(inner).alias("n"), *(F.sum(b).over(inner).alias(b) for b in bits)).where("m <> 0").join(sums, ["kind", "slice"]).join(totals, "kind")
+    hits = F.array(*(F.struct(F.lit(i).alias("t"), F.shiftright("m", i).bitwiseAND(F.lit(1)).alias("hit"), (F.col(b) + F.col(f"{b}_0")).alias("hits")) for i, b in enumerate(bits)))
+    run = run.select("kind", "total_gt", (F.col("n") + F.col("n_0")).alias("seen"), F.inline(F.filter(hits, lambda x: x["hit"] == 1)))
     recall = F.col("hits") / F.col("total_gt")
     near = F.floor(F.col("hits") * 100 / F.col("total_gt"))
     step = F.when(recall >= (near + 1) * 0.01, near + 1).when(recall < near * 0.01, near - 1).otherwise(near)
     best = run.groupBy("kind", "t", F.least(step, F.lit(100)).alias("step")).agg(F.max(F.col("hits") / F.col("seen")).alias("precision"))
     curve = best.groupBy("kind", "t").agg(F.collect_list(F.struct("step", "precision")).alias("c"))
     at = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda r: F.coalesce(F.array_max(F.transform(F.filter("c", lambda x: x["step"] >= r), lambda x: x["precision"])), F.lit(0.0)))
-    ap = curve.select("kind", "t", (F.aggregate(at, F.lit(0.0), lambda a, v: a + v) / 101).alias("ap")).groupBy("kind").agg(F.max(F.when(F.col("t") == 0, F.col("ap"))).alias("a50"), F.avg("ap").alias("a95"))
+    ap = curve.select("kind", "t", (F.aggregate(at, F.lit(0.0), lambda a, v: a + v) / 101).alias("ap")).groupBy("kind").agg(F.max(F.when(F.col("t") == 0, F.col("ap"))).alias("a50"), (F.sum("ap") / len(THRESHOLDS)).alias("a95"))
     known = totals.join(counted, "kind", "full").join(ap, "kind", "left")
     value = lambda c: F.when(F.col("total_gt") > 0, F.round(F.coalesce(c, F.lit(0.0)), 4))
     return known.select("kind", value("a50").alias("ap_50"), value("a95").alias("ap_50_95"), F.coalesce("total_gt", F.lit(0)).alias("total_gt"), F.coalesce("total_preds", F.lit(0)).alias("total_preds"))
