@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_word
+from ..sources.tables import bound_batches
 
 MARKER = re.compile(r"^# Trang ([0-9]+)$", re.M)
 CONTEXT_WORDS = 10
@@ -83,15 +84,28 @@ def _folded(text: str) -> tuple[str, list[int]]:
     return "".join(pieces), source
 
 
+#: Rows that leave a worker at once; a batch of texts may have many times as many
+OUT_ROWS = 5000
+
+
 def _rows(batches: Iterator[pd.DataFrame], columns: list[str], of_text) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
             if text is not None:
-                rows += [(doc_id, *row) for row in of_text(unicodedata.normalize("NFC", text))]
+                for row in of_text(unicodedata.normalize("NFC", text)):
+                    rows.append((doc_id, *row))
+                    if len(rows) >= OUT_ROWS:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
         yield pd.DataFrame(rows, columns=columns)
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    bound_batches(docs.sparkSession)
+    return docs.select("doc_id", "text")
+
+
 _SPAN = "doc_id long, keyword string, match_start long, match_end long, source_start long, source_end long"
 
 
@@ -104,7 +118,7 @@ def keyword_spans(docs: DataFrame, keywords: list[str], bounded: bool = False) -
         for key, a, b in bounded_spans(folded, list(words))[0] if bounded else literal_spans(folded, list(words)):
             yield words[key], a, b, source[a], source[b - 1] + 1
 
-    return docs.select("doc_id", "text").mapInPandas(lambda it: _rows(it, [c.split()[0] for c in _SPAN.split(", ")], spans), _SPAN)
+    return _texts(docs).mapInPandas(lambda it: _rows(it, [c.split()[0] for c in _SPAN.split(", ")], spans), _SPAN)
 
 
 def suppressed_spans(docs: DataFrame, keywords: list[str]) -> DataFrame:
@@ -112,7 +126,7 @@ def suppressed_spans(docs: DataFrame, keywords: list[str]) -> DataFrame:
     words = distinct_keywords(keywords)
     schema = "doc_id long, keyword string, match_start long, match_end long, kept_keyword string"
     spans = lambda text: ((words[k], a, b, words[by]) for k, a, b, by in bounded_spans(_folded(text)[0], list(words))[1])
-    return docs.select("doc_id", "text").mapInPandas(lambda it: _rows(it, [c.split()[0] for c in schema.split(", ")], spans), schema)
+    return _texts(docs).mapInPandas(lambda it: _rows(it, [c.split()[0] for c in schema.split(", ")], spans), schema)
 
 
 def citations(docs: DataFrame, keywords: list[str]) -> DataFrame:
@@ -140,7 +154,7 @@ def citations(docs: DataFrame, keywords: list[str]) -> DataFrame:
             after = [text[max(x, end) : min(y, high)] for x, y in tokens[go : go + CONTEXT_WORDS] if x < high]
             yield words[key], a, b, page, " ".join(before), text[start:end], " ".join(after)
 
-    made = docs.select("doc_id", "text").mapInPandas(lambda it: _rows(it, [c.split()[0] for c in schema.split(", ")], cited), schema.replace("page_number int", "page_number double"))
+    made = _texts(docs).mapInPandas(lambda it: _rows(it, [c.split()[0] for c in schema.split(", ")], cited), schema.replace("page_number int", "page_number double"))
     return made.withColumn("page_number", F.col("page_number").cast("int"))
 
 
@@ -181,7 +195,7 @@ def alias_candidates(docs: DataFrame, keywords: list[str], min_words: int = 2) -
                 if text[start:end].casefold() != word.casefold() and not any(a < end and b > start for a, b in literal[key]):
                     yield word, text[start:end], start, end
 
-    return docs.select("doc_id", "text").mapInPandas(lambda it: _rows(it, [c.split()[0] for c in schema.split(", ")], found), schema)
+    return _texts(docs).mapInPandas(lambda it: _rows(it, [c.split()[0] for c in schema.split(", ")], found), schema)
 
 
 def ruled(candidates: DataFrame, docs: DataFrame, rules: DataFrame) -> DataFrame:

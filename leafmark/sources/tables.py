@@ -15,6 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of texts in an Arrow batch; 10,000 long texts at once are hundreds of MB as Python strings
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session are cut by bytes, beside Spark's cut by rows, unless a smaller bound is set."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    if not (now and now.isdigit() and 0 < int(now) <= BATCH_BYTES):
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def file_snapshot(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Files below path with their size and SHA-256, and the first path that has the same content."""
     from pyspark.sql import Window
